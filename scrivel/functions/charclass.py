@@ -26,7 +26,8 @@ NOT_AFTER_DIGIT = f"(?<![{DIGIT}{_WIDE}])"
 # Position between a word and a non-word character, in either direction.
 BOUNDARY = f"(?:{NOT_AFTER_WORD}(?=[{WORD}])|{AFTER_WORD}(?![{WORD}]))"
 
-_EDGE_SPACE = f"^[{SPACE}]++|[{SPACE}]++\\z"
+# The members of SPACE one by one, for trimming without a pattern.
+_SPACES = "".join(chr(n) for n in range(0x3001) if chr(n).isspace())
 
 # Full-width digits, accepted wherever a number is read.
 _WIDE_DIGITS = "０１２３４５６７８９"
@@ -34,7 +35,7 @@ _WIDE_DIGITS = "０１２３４５６７８９"
 
 def strip(c: Column) -> Column:
     """Remove white space of any kind from both ends (``trim`` removes blanks only)."""
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.btrim(c, F.lit(_SPACES))
 
 
 def squeeze(c: Column) -> Column:

@@ -172,9 +172,13 @@ def sections(
 
 
 def cards(found: DataFrame) -> DataFrame:
-    """One row per card, numbered ``n`` from 1 in page order."""
+    """One row per card, numbered ``n`` from 1 in page order.
+
+    The outer form keeps Spark from adding a size filter, which would parse pages twice.
+    """
     rest = [c for c in found.columns if c != "cards"]
-    return found.select(*rest, F.posexplode("cards").alias("at", "card")).select(
+    single = found.select(*rest, F.posexplode_outer("cards").alias("at", "card"))
+    return single.filter("card IS NOT NULL").select(
         *rest, (F.col("at") + 1).alias("n"), "card.name", "card.note"
     )
 

@@ -114,19 +114,25 @@ def table_ledger(
     data = joined.filter(
         (F.struct(*position) > F.col("at")) & (header.isNull() | (F.size(cells) > width))
     )
-    picked = {key: F.when(known, F.get(cells, header[key])) for key in HEADER_WORDS}
-    amount = F.when(known, clean_amount(picked["金额"]))
-    return data.select(
+    picked = data.select(
         "doc_id",
         *position,
-        F.when(known, parse_date(picked["日期"])).alias("日期"),
-        direction(amount).alias("方向"),
-        amount.alias("金额"),
-        picked["对方"].alias("对方"),
-        picked["余额"].alias("余额"),
-        picked["摘要"].alias("摘要"),
+        known.alias("known"),
+        *(F.get(cells, header[key]).alias(key) for key in HEADER_WORDS),
         F.when(~known, F.array_join(cells, " | ")).alias("原始数据"),
     )
+    amount = F.col("金额")
+    return picked.withColumn("金额", F.when(F.col("known"), clean_amount(amount))).select(
+        "doc_id",
+        *position,
+        F.when(F.col("known"), parse_date(F.col("日期"))).alias("日期"),
+        direction(amount).alias("方向"),
+        "金额",
+        "对方",
+        "余额",
+        "摘要",
+        "原始数据",
+    )
 
 
 def text_lines(pages: DataFrame) -> DataFrame:

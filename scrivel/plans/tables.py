@@ -141,7 +141,7 @@ def _mixed(boxes: Column, seed: Column) -> Column:
     keyed = F.transform(
         boxes, lambda b: F.struct(F.xxhash64(seed, b["text"], b["x"], b["y"]).alias("k"), b.alias("b"))
     )
-    return F.transform(F.array_sort(keyed), lambda e: e["b"])
+    return F.transform(F.sort_array(keyed), lambda e: e["b"])
 
 
 def receipt_images(payments_: DataFrame) -> DataFrame:
@@ -223,7 +223,7 @@ def roster_pages(customers: DataFrame) -> DataFrame:
         F.lit("</span></article>"),
     )
     page = F.floor(F.col("c_custkey") / CARDS_PER_PAGE)
-    body = F.array_sort(F.collect_list(F.struct("c_custkey", card.alias("card"))))
+    body = F.sort_array(F.collect_list(F.struct("c_custkey", card.alias("card"))))
     html = F.concat(
         F.lit('<html><body><p class="alumni-directory__season">x</p>'
               '<section class="alumni-directory__section"><div class="alumni-directory__header">'
