@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scrivel.session import landed, spread
+
 SALT = "demo"
 # Digits of a customer key as a name of four characters.
 NAME_DIGITS = "甲乙丙丁戊己庚辛壬癸"
@@ -59,7 +61,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                               "o_totalprice", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
-    joined = o.join(c, o.o_custkey == c.c_custkey)
+    joined = spread(o).join(c, F.col("o_custkey") == F.col("c_custkey"))
     sign = F.when(F.col("o_orderstatus") == "F", "-").otherwise("+")
     day = F.col("o_orderdate")
     forms = ("yyyy-MM-dd", "yyyy年M月d日", "yyyy/M/d", "yy-MM-dd")
@@ -203,14 +205,13 @@ def text_images(documents: DataFrame) -> DataFrame:
         )
 
     boxes = F.flatten(F.transform(lines, place))
-    return documents.select("doc_id", F.to_json(_mixed(boxes, F.col("doc_id"))).alias("payload"))
+    return spread(documents).select("doc_id", F.to_json(_mixed(boxes, F.col("doc_id"))).alias("payload"))
 
 
 def single_boxes(images: DataFrame) -> DataFrame:
-    """Boxes landed one by one."""
-    return images.select("doc_id", F.posexplode("items").alias("ord", "box")).select(
-        "doc_id", "ord", "box.*"
-    )
+    """Boxes landed one by one, as a table of their own."""
+    single = images.select("doc_id", F.posexplode("items").alias("ord", "box"))
+    return landed(single.select("doc_id", "ord", "box.*"))
 
 
 def roster_pages(customers: DataFrame) -> DataFrame:
