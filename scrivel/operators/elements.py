@@ -157,12 +157,17 @@ def extract_section(html: Column, layout: CardLayout = ROSTER) -> Column:
 def sections(
     pages: DataFrame, layout: CardLayout = ROSTER, html: str = "html"
 ) -> DataFrame:
-    """Replace the page by ``season, cohort, n_cards, cards``; pages without section are dropped."""
+    """Replace the page by ``season, cohort, n_cards, cards``; pages without section are dropped.
+
+    They are dropped by exploding a list of one or no section: a filter would be pushed below the
+    projection and parse every page a second time.
+    """
     rest = [c for c in pages.columns if c != html]
+    parsed = F.array(extract_section(F.col(html), layout))
     found = pages.filter(_may_match(F.col(html), layout)).select(
-        *rest, extract_section(F.col(html), layout).alias("section")
+        *rest, F.explode(F.filter(parsed, lambda s: s["cards"].isNotNull())).alias("section")
     )
-    return found.filter(F.col("section.cards").isNotNull()).select(
+    return found.select(
         *rest,
         "section.season",
         "section.cohort",
