@@ -12,6 +12,7 @@ from scrivel.functions.charclass import squeeze
 from scrivel.functions.pseudonym import domain_hash, pseudonymize, public_tags
 from scrivel.operators import records
 from scrivel.plans.tables import SALT, stories, table
+from scrivel.session import spread
 from scrivel.sources.files import image_manifest
 
 
@@ -19,7 +20,8 @@ def _scrubbed(name: str, key: str, column: str, step):
     """A query applying one step to a whole text column."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return table(spark, sf_dir, name).select(key, step(F.col(column)).alias("cleaned"))
+        texts = spread(table(spark, sf_dir, name).select(key, column))
+        return texts.select(key, step(F.col(column)).alias("cleaned"))
 
     return query
 

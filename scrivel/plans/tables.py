@@ -26,7 +26,7 @@ def printed(c: Column) -> Column:
 
 def stories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in the envelope of a landed story, with empty and missing fields among them."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"))
     key = F.col("doc_id")
     record = F.struct(
         key.cast("string").alias("objectID"),
