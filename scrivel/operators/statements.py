@@ -185,7 +185,9 @@ def statement_ledger(
     """
     tables = table_ledger(rows, position, **skew).filter(F.col("原始数据").isNull())
     settled = tables.select("doc_id").distinct()
-    unsettled = salted_join(pages, settled, "doc_id", "left_anti", **skew)
+    unsettled = salted_join(
+        pages, settled, "doc_id", "left_anti", spread=F.xxhash64("page"), **skew
+    )
     texts = text_ledger(unsettled, amount_form)
     ledger = tables.unionByName(texts, allowMissingColumns=True)
     return ledger.drop("原始数据")
