@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scrivel.llm.bpe import bpe_decode, bpe_encode
 from scrivel.llm.simhash import simhash_groups
 
 
@@ -18,6 +20,20 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), mark.alias("fingerprint"), "component_id")
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe_encode(docs, ranks, public_tokenizers.PATTERN).select("doc_id", "ids")
+    numbers = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return bpe_decode(encoded, ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(numbers, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op3_simhash": (op3_simhash, None),
+    "op9_byte_bpe": (op9_byte_bpe, None),
 }
