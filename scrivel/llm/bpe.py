@@ -14,9 +14,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Characters of text whose new pieces are replayed together, and pieces a task remembers.
-SLICE_CHARS = 8_000_000
+from scrivel.llm.pieces import Dictionary, sliced, spread
+
+#: Bytes of text whose new pieces are replayed together, and pieces a task remembers.
+SLICE_BYTES = 8_000_000
 MAX_PIECES = 400_000
 _NONE = np.int32(2**31 - 1)
 
@@ -180,53 +180,19 @@ class Merges:
         return at, ranks[first]
 
 
-class _Dictionary:
-    """Pieces met so far by number, with their ids laid end to end."""
-
-    def __init__(self, merges: Merges):
-        self.merges = merges
-        self.number: defaultdict[str, int] = defaultdict(count().__next__)
-        self.ids = np.zeros(0, np.int32)
-        self.start = np.zeros(1, np.int64)
-
-    def learn(self) -> None:
-        """Replay the merges over the pieces that are new."""
-        known = len(self.start) - 1
-        fresh = [p.encode() for p in list(self.number)[known:]]
-        rank = self.merges.rank
-        whole = np.array([rank.get(p, -1) for p in fresh], np.int64)  # a piece that is a token is that
-        rest = np.flatnonzero(whole < 0)
-        ids, sizes = self.merges.replay([fresh[i] for i in rest.tolist()])
-        counts = np.ones(len(fresh), np.int64)
-        counts[rest] = sizes
-        start = np.r_[0, np.cumsum(counts)]
-        laid = np.empty(start[-1], np.int32)
-        laid[start[:-1][whole >= 0]] = whole[whole >= 0]
-        laid[spread(start[rest], sizes)] = ids
-        self.start = np.r_[self.start, self.start[-1] + start[1:]]
-        self.ids = np.r_[self.ids, laid]
-
-    def encoded(self, pieces: np.ndarray) -> np.ndarray:
-        at = self.start[pieces]
-        return self.ids[spread(at, self.start[pieces + 1] - at)]
-
-
-def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The numbers start, start + 1, ... of every run, run after run."""
-    total = int(size.sum())
-    return np.arange(total) + np.repeat(start - (np.cumsum(size) - size), size)
-
-
-def sliced(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive items that together are no larger than ``most``, or one item."""
-    begin, held = 0, 0
-    for i, size in enumerate(sizes):
-        if held and held + size > most:
-            yield begin, i
-            begin, held = i, 0
-        held += size
-    if begin < len(sizes):
-        yield begin, len(sizes)
+def piece_ids(merges: Merges, fresh: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of the pieces end to end, and how many each has. A piece that is a token is that token."""
+    raw = [p.encode() for p in fresh]
+    whole = np.array([merges.rank.get(p, -1) for p in raw], np.int64)
+    rest = np.flatnonzero(whole < 0)
+    ids, sizes = merges.replay([raw[i] for i in rest.tolist()])
+    counts = np.ones(len(fresh), np.int64)
+    counts[rest] = sizes
+    start = np.cumsum(counts) - counts
+    laid = np.empty(int(counts.sum()), np.int32)
+    laid[start[whole >= 0]] = whole[whole >= 0]
+    laid[spread(start[rest], sizes)] = ids
+    return laid, counts
 
 
 def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
@@ -243,13 +209,13 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges, cut = Merges(read_ranks(ranks_path)), piece_pattern(pattern).findall
-        words = _Dictionary(merges)
+        words = Dictionary(lambda fresh: piece_ids(merges, fresh))
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
             sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
-            for begin, end in sliced(sizes, SLICE_CHARS):
+            for begin, end in sliced(sizes, SLICE_BYTES):
                 if len(words.number) > MAX_PIECES:
-                    words = _Dictionary(merges)
+                    words = Dictionary(lambda fresh: piece_ids(merges, fresh))
                 number = words.number.__getitem__
                 found = [
                     np.fromiter(map(number, cut(t.as_py() or "")), np.int64)

@@ -7,13 +7,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrivel.llm.bpe import bpe_decode, bpe_encode
+from scrivel.llm.landing import new_path
 from scrivel.llm.simhash import simhash_groups
+from scrivel.llm.token_files import read_token_files, write_token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    manifest = write_token_files(docs, vocabulary, new_path(spark, "ids"), "doc_id", "text", end_id=1)
+    return read_token_files(manifest).select(
+        F.col("id").alias("doc_id"),
+        "start",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(_table(spark, sf_dir, "documents"), "doc_id", "text", 3, 3)
     mark = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -34,6 +48,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_files": (op1_token_files, None),
     "op3_simhash": (op3_simhash, None),
     "op9_byte_bpe": (op9_byte_bpe, None),
 }
