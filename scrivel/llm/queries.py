@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from scrivel.llm.bpe import bpe_decode, bpe_encode
 from scrivel.llm.landing import new_path
 from scrivel.llm.simhash import simhash_groups
+from scrivel.llm.substring import remove_repeats
 from scrivel.llm.token_files import read_token_files, write_token_files
 
 
@@ -34,6 +35,37 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), mark.alias("fingerprint"), "component_id")
 
 
+def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(_table(spark, sf_dir, "documents"), "doc_id", "text", length=20)
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return kept.select(F.col("id").alias("doc_id"), "n_words", "n_removed", digest)
+
+
+OP4_SQL = r"""
+WITH d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+    FROM documents
+), starts AS (
+    SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS s FROM d WHERE len(w) >= 20
+), later AS (
+    SELECT doc_id, s
+    FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(w[s:s + 19], ' ') ORDER BY doc_id, s) AS nth
+          FROM starts)
+    WHERE nth > 1
+), covered AS (
+    SELECT DISTINCT doc_id, unnest(generate_series(s, s + 19)) AS i FROM later
+), gone AS (
+    SELECT doc_id, list(i) AS gone FROM covered GROUP BY doc_id
+), kept AS (
+    SELECT doc_id, w, list_filter(w, (x, i) -> NOT list_contains(coalesce(gone, []), i)) AS k
+    FROM d LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - len(k))::BIGINT AS n_removed,
+       sha256(coalesce(array_to_string(k, ' '), '')) AS kept_sha256
+FROM kept
+"""
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -50,5 +82,6 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": (op1_token_files, None),
     "op3_simhash": (op3_simhash, None),
+    "op4_substring": (op4_substring, OP4_SQL),
     "op9_byte_bpe": (op9_byte_bpe, None),
 }
