@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrivel.llm.bpe import bpe_decode, bpe_encode
+from scrivel.llm.embedding_dedup import near_vectors
 from scrivel.llm.landing import new_path
 from scrivel.llm.simhash import simhash_groups
 from scrivel.llm.substring import remove_repeats
@@ -29,6 +30,13 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = near_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.9)
+    return linked.select(
+        F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(_table(spark, sf_dir, "documents"), "doc_id", "text", 3, 3)
     mark = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -41,9 +49,31 @@ def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(F.col("id").alias("doc_id"), "n_words", "n_removed", digest)
 
 
+OP2_SQL = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+), fine AS (
+    SELECT vec_id, e FROM v
+    WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM fine a JOIN fine b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9
+), reached AS (
+    SELECT vec_id, vec_id AS other FROM v
+    UNION
+    SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a
+)
+SELECT v.vec_id, (SELECT count(*) FROM links WHERE a = v.vec_id) AS n_links,
+       min(other) AS component_id, v.vec_id = min(other) AS kept
+FROM v JOIN reached r ON r.vec_id = v.vec_id
+GROUP BY v.vec_id
+"""
+
+
 OP4_SQL = r"""
 WITH d AS (
-    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
     FROM documents
 ), starts AS (
     SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS s FROM d WHERE len(w) >= 20
@@ -57,7 +87,7 @@ WITH d AS (
 ), gone AS (
     SELECT doc_id, list(i) AS gone FROM covered GROUP BY doc_id
 ), kept AS (
-    SELECT doc_id, w, list_filter(w, (x, i) -> NOT list_contains(coalesce(gone, []), i)) AS k
+    SELECT doc_id, w, list_filter(w, lambda x, i: NOT list_contains(coalesce(gone, []), i)) AS k
     FROM d LEFT JOIN gone USING (doc_id)
 )
 SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - len(k))::BIGINT AS n_removed,
@@ -81,6 +111,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_files": (op1_token_files, None),
+    "op2_embeddings": (op2_embeddings, OP2_SQL),
     "op3_simhash": (op3_simhash, None),
     "op4_substring": (op4_substring, OP4_SQL),
     "op9_byte_bpe": (op9_byte_bpe, None),
