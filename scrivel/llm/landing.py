@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; where that is unset, and only on a single
     machine, a temporary one that is then stored there."""
@@ -25,7 +28,17 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def landed(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write a table that several steps read. A lost executor costs its tasks, not the table."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write a table that several steps read. A lost executor costs its tasks, not the table.
+
+    Once the table stands its shuffles are of no use, so their files go with the write. The table
+    stays as long as the folder does, since results that read it are computed later.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)

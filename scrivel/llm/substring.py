@@ -84,7 +84,7 @@ class Runs:
 
     def of(self, texts: list[bytes], with_windows: bool) -> dict[str, np.ndarray]:
         """``text`` (its number), ``start`` (first window), ``many`` (windows), ``place`` (of the seed in the first window),
-        ``seed`` and, if asked for, ``key`` of the whole run and ``windows`` (hashes, end to end)."""
+        ``seed`` and, if asked for, ``windows`` (hashes, end to end)."""
         data, starts, ends, owner = _joined(texts)
         n, seeds = len(starts), self.length - self.seed + 1
         if n < self.length:
@@ -115,8 +115,6 @@ class Runs:
             "seed": seed_hash[anchor[opens]].view(np.int64),
         }
         if with_windows:
-            key = _mixed(self.words.of(sums, first, first + many + self.length - 1) + _U(1) * (many * 128).astype(np.uint64))
-            runs["key"] = _mixed(key + runs["place"].astype(np.uint64)).view(np.int64)
             runs["windows"] = _mixed(self.words.of(sums, whole, whole + self.length) + _U(17))
         return runs
 
@@ -161,30 +159,36 @@ def covered_runs(docs: DataFrame, id: str, text: str, length: int) -> DataFrame:
                 pa.binary(), len(found["many"]), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(low)]
             )
             spot = found["start"] << 8 | found["place"]
-            columns = [pa.array(found["seed"]), pa.array(found["key"]), part.column("id").take(own)]
+            columns = [pa.array(found["seed"]), part.column("id").take(own)]
             columns += [part.column("tag").take(own), pa.array(spot), blob]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["seed", "key", "id", "tag", "spot", "windows"]
+    names = ["seed", "id", "tag", "spot", "windows"]
     kind = docs.schema[id].dataType.simpleString()
-    repeated = (
-        pairs.mapInArrow(seeds, "seed long").groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed")
+    # Counts are landed before a join, so that both of its sides are plain shuffles that can be split.
+    counts = pairs.mapInArrow(seeds, "seed long").groupBy("seed").agg(F.count("*").alias("n"))
+    repeated = landed(counts.filter("n > 1").select("seed"), "seeds")
+    runs = pairs.mapInArrow(full, f"seed long, id {kind}, tag int, spot long, windows binary")
+    many = (F.length("windows") / F.lit(WINDOW_BYTES)).cast("int")
+    key = F.xxhash64("windows", F.col("spot").bitwiseAND(F.lit(255)))
+    hits = landed(
+        runs.join(repeated, "seed", "left_semi").withColumns({"key": key, "many": many}), "runs"
     )
-    runs = pairs.mapInArrow(full, f"seed long, key long, id {kind}, tag int, spot long, windows binary")
-    hits = landed(runs.join(repeated, "seed", "left_semi"), "runs")
-    # Order of occurrences: id, then start, then tag.
+    # Order of occurrences: id, then start, then tag. Runs of a seed and key are equal word by word.
     spot = F.struct("id", "spot", "tag")
-    kinds = hits.groupBy("seed", "key").agg(F.min(spot).alias("first"), F.min("windows").alias("windows"))
-    kinds = landed(kinds, "runs")
+    kinds = landed(
+        hits.groupBy("seed", "key").agg(F.min(spot).alias("first"), F.min("windows").alias("windows")), "runs"
+    )
     start = F.shiftright("spot", 8)
-    many = (F.length("windows") / F.lit(WINDOW_BYTES)).cast("int")
     later = F.struct("id", "spot") > F.struct("first.id", "first.spot")
     whole = (
-        hits.join(kinds.select("seed", "key", "first"), ["seed", "key"])
+        hits.select("seed", "key", "id", "spot", "tag", "many")
+        .join(kinds.select("seed", "key", "first"), ["seed", "key"])
         .filter(later)
-        .select("id", "tag", start.alias("start"), many.alias("many"))
+        .select("id", "tag", start.alias("start"), "many")
     )
-    mixed = kinds.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed")
+    several = kinds.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1")
+    mixed = landed(several.select("seed"), "seeds")
     nth = F.explode(F.sequence(F.lit(0), many - 1)).alias("nth")
     parts = (
         kinds.join(mixed, "seed", "left_semi")
@@ -198,7 +202,12 @@ def covered_runs(docs: DataFrame, id: str, text: str, length: int) -> DataFrame:
             F.expr(f"substring(windows, nth * {WINDOW_BYTES} + 1, {WINDOW_BYTES})").alias("window"),
         )
     )
-    earliest = parts.groupBy("seed", "place", "window").agg(F.min(F.struct("id", "start")).alias("first"))
+    earliest = landed(
+        parts.groupBy("seed", "place", "window").agg(
+            F.count("*").alias("n"), F.min(F.struct("id", "start")).alias("first")
+        ).filter("n > 1").drop("n"),
+        "windows",
+    )
     single = (
         parts.join(earliest, ["seed", "place", "window"])
         .filter(F.struct("id", "start") > F.col("first"))
