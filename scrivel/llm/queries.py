@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from scrivel.llm.bpe import bpe_decode, bpe_encode
 from scrivel.llm.embedding_dedup import near_vectors
 from scrivel.llm.landing import new_path
+from scrivel.llm.secret_scan import KINDS, find_secrets
 from scrivel.llm.simhash import simhash_groups
 from scrivel.llm.substring import remove_repeats
 from scrivel.llm.token_files import read_token_files, write_token_files
@@ -109,10 +110,28 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "secrets")
+    base = F.filter("secrets", lambda s: s["kind"].isin(*KINDS[:3]))
+    counts = {f"n_{k}": F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("long") for k in KINDS[:3]}
+
+    def line(spans):
+        each = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(each, ",")
+
+    return found.select(
+        "doc_id",
+        *(c.alias(name) for name, c in counts.items()),
+        F.sha2(line(base), 256).alias("base_sha256"),
+        line(F.col("secrets")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_token_files": (op1_token_files, None),
     "op2_embeddings": (op2_embeddings, OP2_SQL),
     "op3_simhash": (op3_simhash, None),
     "op4_substring": (op4_substring, OP4_SQL),
     "op9_byte_bpe": (op9_byte_bpe, None),
+    "op10_secret_scan": (op10_secret_scan, None),
 }
