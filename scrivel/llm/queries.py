@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from scrivel.llm.bpe import bpe_decode, bpe_encode
 from scrivel.llm.embedding_dedup import near_vectors
 from scrivel.llm.landing import new_path
+from scrivel.llm.line_quality import fit_line_field, line_quality
 from scrivel.llm.secret_scan import KINDS, find_secrets
 from scrivel.llm.simhash import simhash_groups
 from scrivel.llm.substring import remove_repeats
@@ -97,6 +98,18 @@ FROM kept
 """
 
 
+#: Documents whose id has this remainder of its checksum lend no label.
+HELD_OUT = "coalesce(crc32(cast(cast(doc_id AS string) AS binary)) % 4 = 2, false)"
+
+
+def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = fit_line_field(docs, _table(spark, sf_dir, "labels").filter(f"NOT {HELD_OUT}"))
+    return line_quality(docs, field).select(
+        "doc_id", F.expr(HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -132,6 +145,7 @@ QUERIES = {
     "op2_embeddings": (op2_embeddings, OP2_SQL),
     "op3_simhash": (op3_simhash, None),
     "op4_substring": (op4_substring, OP4_SQL),
+    "op5_line_quality": (op5_line_quality, None),
     "op9_byte_bpe": (op9_byte_bpe, None),
     "op10_secret_scan": (op10_secret_scan, None),
 }
