@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from scrivel.llm.bpe import bpe_decode, bpe_encode
 from scrivel.llm.embedding_dedup import near_vectors
-from scrivel.llm.landing import new_path
+from scrivel.llm.landing import landed, new_path
 from scrivel.llm.line_quality import fit_line_field, line_quality
+from scrivel.llm.mixing import document_rows, mix_sources
 from scrivel.llm.secret_scan import KINDS, find_secrets
 from scrivel.llm.simhash import simhash_groups
 from scrivel.llm.substring import remove_repeats
@@ -110,6 +111,57 @@ def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = landed(document_rows(_table(spark, sf_dir, "documents"), "doc_id", "text", "source"), "rows")
+    targets, blocks = mix_sources(rows, weights=(1, 2, 3), most=3, shards=16, block_words=256)
+    taken = blocks.groupBy("id", "mark", "nth").agg(F.sum("words").alias("taken"))
+    r, t, s = rows.alias("r"), taken.alias("t"), targets.alias("s")
+    row = F.col("r.id").eqNullSafe(F.col("t.id")) & (F.col("r.mark") == F.col("t.mark")) & (F.col("r.nth") == F.col("t.nth"))
+    return r.join(t, row, "left").join(s, F.col("r.source").eqNullSafe(F.col("s.source"))).select(
+        F.col("r.id").alias("doc_id"),
+        "r.size",
+        "s.source_size",
+        "s.target",
+        F.coalesce("t.taken", F.lit(0)).alias("taken"),
+    )
+
+
+OP8_SQL = r"""
+WITH d AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), s AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+           (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+    FROM d GROUP BY source
+), l AS (
+    SELECT *, max(level) OVER () AS top FROM (
+        SELECT *, (sum(source_size) OVER () - coalesce(sum(source_size * 3) OVER (
+                       ORDER BY source_size * 3 / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                  / sum(weight) OVER (
+                       ORDER BY source_size * 3 / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+        FROM s)
+), t AS (
+    SELECT source, source_size, least(source_size * 3.0::DOUBLE, weight * top::DOUBLE) AS target FROM l
+), p AS (
+    SELECT *, CASE WHEN source_size > 0 THEN floor(target + 0.5)::BIGINT // source_size ELSE 0 END AS passes,
+           CASE WHEN source_size > 0 THEN floor(target + 0.5)::BIGINT % source_size ELSE 0 END AS rest
+    FROM t
+), blocks AS (
+    SELECT doc_id, d.source, rest, block, least(256, size - 256 * block) AS words,
+           md5('mix:' || (passes + 1) || ':' || doc_id || ':1:' || block) AS key
+    FROM (SELECT *, unnest(generate_series(0, (size + 255) // 256 - 1)) AS block FROM d) d
+    JOIN p ON d.source IS NOT DISTINCT FROM p.source
+), drawn AS (
+    SELECT doc_id, sum(least(words, greatest(0, rest - before)))::BIGINT AS words FROM (
+        SELECT *, coalesce(sum(words) OVER (PARTITION BY source ORDER BY key
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM blocks)
+    GROUP BY doc_id
+)
+SELECT d.doc_id, d.size, p.source_size, p.target, (p.passes * d.size + coalesce(drawn.words, 0))::BIGINT AS taken
+FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN drawn ON d.doc_id = drawn.doc_id
+"""
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -146,6 +198,7 @@ QUERIES = {
     "op3_simhash": (op3_simhash, None),
     "op4_substring": (op4_substring, OP4_SQL),
     "op5_line_quality": (op5_line_quality, None),
+    "op8_mixing": (op8_mixing, OP8_SQL),
     "op9_byte_bpe": (op9_byte_bpe, None),
     "op10_secret_scan": (op10_secret_scan, None),
 }
