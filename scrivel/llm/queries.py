@@ -10,6 +10,7 @@ from scrivel.llm.bpe import bpe_decode, bpe_encode
 from scrivel.llm.embedding_dedup import near_vectors
 from scrivel.llm.landing import landed, new_path
 from scrivel.llm.line_quality import fit_line_field, line_quality
+from scrivel.llm.merkle import edited_fingerprints, first_difference, likeness
 from scrivel.llm.mixing import document_rows, mix_sources
 from scrivel.llm.secret_scan import KINDS, find_secrets
 from scrivel.llm.simhash import simhash_groups
@@ -111,6 +112,67 @@ def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = edited_fingerprints(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    own, edited, other = (F.col(c) for c in ("fingerprint", "edited_fingerprint", "next_fingerprint"))
+    return marked.select(
+        F.col("id").alias("doc_id"),
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        likeness(own, edited).alias("near_edited"),
+        likeness(own, other).alias("near_next"),
+        first_difference(own, edited, "[;,]").alias("edited_paragraph"),
+    )
+
+
+OP6_SQL = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n_chars FROM documents
+), e AS (
+    SELECT doc_id, text, n_chars, substr(text, 1, n_chars - n_chars // 2) || substr(following, 1, n_chars // 2) AS edited
+    FROM (SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id),
+                             first(text) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS following
+          FROM d)
+), texts AS (
+    SELECT DISTINCT text FROM (SELECT text FROM e UNION ALL SELECT edited FROM e)
+), trees AS (
+    SELECT text, list_transform(regexp_extract_all(text, '(?s).+?(?:\n\n+|\z)'), lambda s:
+        list_transform(regexp_extract_all(s, '[^\n]+\n*|\n+'), lambda p:
+            list_transform(regexp_extract_all(p, '[^.!?|\n]{1,160}[.!?|\n]*|[.!?|\n]+'), lambda x: md5(x)))) AS tree
+    FROM texts
+), bodies AS (
+    SELECT text,
+           sha256(coalesce(array_to_string(list_transform(tree, lambda s: md5(array_to_string(
+               list_transform(s, lambda p: md5(array_to_string(p, ''))), ''))), ''), '')) AS root,
+           coalesce(array_to_string(list_transform(tree, lambda s: array_to_string(
+               list_transform(s, lambda p: array_to_string(list_transform(p, lambda x: substr(x, 1, 8)), '')), ',')), ';'), '') AS body,
+           list_distinct(flatten(flatten(list_transform(tree, lambda s:
+               list_transform(s, lambda p: list_transform(p, lambda x: substr(x, 1, 8))))))) AS pieces
+    FROM trees
+), marked AS (
+    SELECT e.doc_id, e.n_chars, e.edited, a.root || ':' || a.body AS fingerprint, a.pieces,
+           b.root || ':' || b.body AS edited_fingerprint, b.pieces AS edited_pieces,
+           string_split_regex(a.body, '[;,]') AS own_parts, string_split_regex(b.body, '[;,]') AS edited_parts
+    FROM e JOIN bodies a ON e.text = a.text JOIN bodies b ON e.edited = b.text
+), followed AS (
+    SELECT *, coalesce(lead(fingerprint) OVER w, first(fingerprint) OVER w) AS next_fingerprint,
+           coalesce(lead(pieces) OVER w, first(pieces) OVER w) AS next_pieces
+    FROM marked WINDOW w AS (ORDER BY doc_id)
+)
+SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, fingerprint, edited_fingerprint,
+       CASE WHEN fingerprint = edited_fingerprint THEN 1.0 ELSE
+           2.0::DOUBLE * len(list_intersect(pieces, edited_pieces)) / (len(pieces) + len(edited_pieces)) END AS near_edited,
+       CASE WHEN fingerprint = next_fingerprint THEN 1.0 ELSE
+           2.0::DOUBLE * len(list_intersect(pieces, next_pieces)) / (len(pieces) + len(next_pieces)) END AS near_next,
+       CASE WHEN fingerprint <> edited_fingerprint THEN
+           list_position(list_transform(generate_series(1, greatest(len(own_parts), len(edited_parts))),
+                         lambda i: coalesce(own_parts[i] = edited_parts[i], false)), false)::BIGINT END AS edited_paragraph
+FROM followed
+"""
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = landed(document_rows(_table(spark, sf_dir, "documents"), "doc_id", "text", "source"), "rows")
     targets, blocks = mix_sources(rows, weights=(1, 2, 3), most=3, shards=16, block_words=256)
@@ -198,6 +260,7 @@ QUERIES = {
     "op3_simhash": (op3_simhash, None),
     "op4_substring": (op4_substring, OP4_SQL),
     "op5_line_quality": (op5_line_quality, None),
+    "op6_merkle": (op6_merkle, OP6_SQL),
     "op8_mixing": (op8_mixing, OP8_SQL),
     "op9_byte_bpe": (op9_byte_bpe, None),
     "op10_secret_scan": (op10_secret_scan, None),
