@@ -12,6 +12,7 @@ from scrivel.llm.landing import landed, new_path
 from scrivel.llm.line_quality import fit_line_field, line_quality
 from scrivel.llm.merkle import edited_fingerprints, first_difference, likeness
 from scrivel.llm.mixing import document_rows, mix_sources
+from scrivel.llm.quotation import reply_ordered
 from scrivel.llm.secret_scan import KINDS, find_secrets
 from scrivel.llm.simhash import simhash_groups
 from scrivel.llm.substring import remove_repeats
@@ -123,7 +124,7 @@ def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         "edited_fingerprint",
         likeness(own, edited).alias("near_edited"),
         likeness(own, other).alias("near_next"),
-        first_difference(own, edited, "[;,]").alias("edited_paragraph"),
+        F.coalesce(first_difference(own, edited, "[;,]"), F.lit(0)).alias("edited_paragraph"),
     )
 
 
@@ -166,13 +167,96 @@ SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, fingerprint, edited_fin
            2.0::DOUBLE * len(list_intersect(pieces, edited_pieces)) / (len(pieces) + len(edited_pieces)) END AS near_edited,
        CASE WHEN fingerprint = next_fingerprint THEN 1.0 ELSE
            2.0::DOUBLE * len(list_intersect(pieces, next_pieces)) / (len(pieces) + len(next_pieces)) END AS near_next,
-       CASE WHEN fingerprint <> edited_fingerprint THEN
+       CASE WHEN fingerprint = edited_fingerprint THEN 0 ELSE
            list_position(list_transform(generate_series(1, greatest(len(own_parts), len(edited_parts))),
                          lambda i: coalesce(own_parts[i] = edited_parts[i], false)), false)::BIGINT END AS edited_paragraph
 FROM followed
 """
 
 
+LOWER = "abcdefghijklmnopqrstuvwxyz"
+
+
+def quoting(conversations: DataFrame) -> DataFrame:
+    """The turns as messages of a mailing list: all but the first quote the turn of half their number, and under it a line of the
+    turn of a quarter; every third conversation quotes in capitals and with wide blanks. The given table has no quotations."""
+    c = conversations.select("conv_id", F.col("turn").alias("t"), F.col("text").alias("quoted"))
+    once = c.groupBy("conv_id", "t").agg(F.min("quoted").alias("quoted"))
+    said = F.when(F.col("conv_id") % 3 == 0, F.translate(F.replace("quoted", F.lit(" "), F.lit("  ")), LOWER, LOWER.upper())).otherwise(F.col("quoted"))
+    a, b = (once.select("conv_id", F.col("t").alias(t), said.alias(q)) for t, q in (("t1", "q1"), ("t2", "q2")))
+    joined = (
+        conversations.withColumn("t1", F.when(F.col("turn") > 0, F.floor(F.col("turn") / 2)))
+        .withColumn("t2", F.when(F.col("t1") > 0, F.floor(F.col("turn") / 4)))
+        .join(a, ["conv_id", "t1"], "left")
+        .join(b, ["conv_id", "t2"], "left")
+    )
+    deep = F.concat(F.lit("> > "), F.substring_index("q2", "\n", 1), F.lit("\n"))
+    near = F.concat(F.lit("> "), F.replace("q1", F.lit("\n"), F.lit("\n> ")), F.lit("\n\n"))
+    text = F.concat(F.coalesce(deep, F.lit("")), F.coalesce(near, F.lit("")), F.col("text"))
+    return joined.select("conv_id", "turn", "role", text.alias("text"))
+
+
+def op7_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ordered = reply_ordered(quoting(_table(spark, sf_dir, "conversations")), "conv_id", "turn", "text")
+    return ordered.withColumn("parent", F.coalesce("parent", F.lit(-1)))
+
+
+OP7_SQL = r"""
+WITH RECURSIVE once AS (
+    SELECT conv_id, turn, CASE WHEN conv_id % 3 = 0 THEN translate(replace(min(text), ' ', '  '), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') ELSE min(text) END AS q
+    FROM conversations GROUP BY conv_id, turn
+), m AS (
+    SELECT c.conv_id, c.turn, c.role,
+           coalesce('> > ' || string_split(b.q, chr(10))[1] || chr(10), '')
+           || coalesce('> ' || replace(a.q, chr(10), chr(10) || '> ') || chr(10) || chr(10), '') || c.text AS text
+    FROM conversations c
+    LEFT JOIN once a ON c.conv_id = a.conv_id AND c.turn > 0 AND a.turn = c.turn // 2
+    LEFT JOIN once b ON c.conv_id = b.conv_id AND c.turn // 2 > 0 AND b.turn = c.turn // 4
+), r AS (
+    SELECT conv_id, turn, role, text, regexp_replace(array_to_string(list_filter(string_split_regex(text, '\r?\n'),
+               lambda x: NOT regexp_matches(x, '^ ?>')), chr(10)), '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS reply
+    FROM m
+), sayings AS (
+    SELECT DISTINCT conv_id, turn, said FROM (
+        SELECT conv_id, turn, trim(regexp_replace(lower(unnest(list_concat([reply],
+                   string_split_regex(reply, '\n[\x20\x09-\x0D]*\n'), string_split(reply, chr(10))))), '[\x20\x09-\x0D]+', ' ', 'g')) AS said
+        FROM r) WHERE said <> ''
+), lines AS (
+    SELECT conv_id, turn, no, length(regexp_replace(regexp_extract(line, '^ ?(?:> ?)+'), '[^>]', '', 'g')) AS level,
+           regexp_replace(line, '^ ?(?:> ?)+', '') AS said
+    FROM (SELECT conv_id, turn, unnest(string_split_regex(text, '\r?\n')) AS line,
+                 generate_subscripts(string_split_regex(text, '\r?\n'), 1) AS no FROM r WHERE regexp_matches(text, '(?m)^ ?>'))
+), runs AS (
+    SELECT *, no - row_number() OVER (PARTITION BY conv_id, turn, level ORDER BY no) AS run FROM lines
+), quotes AS (
+    SELECT conv_id, turn, level, said, length(said) * twice AS weight FROM (
+        SELECT conv_id, turn, level, twice, trim(regexp_replace(lower(said), '[\x20\x09-\x0D]+', ' ', 'g')) AS said FROM (
+            SELECT conv_id, turn, level, string_agg(said, ' ' ORDER BY no) AS said, 2 AS twice FROM runs WHERE level > 0
+            GROUP BY conv_id, turn, level, run
+            UNION ALL SELECT conv_id, turn, level, said, 1 FROM runs WHERE level > 0))
+    WHERE said <> ''
+), links AS (
+    SELECT q.conv_id, q.turn, q.level, q.weight, max(s.turn) AS origin
+    FROM (SELECT *, row_number() OVER () AS i FROM quotes) q
+    JOIN sayings s ON q.conv_id = s.conv_id AND q.said = s.said AND s.turn < q.turn
+    GROUP BY q.i, q.conv_id, q.turn, q.level, q.weight
+), parents AS (
+    SELECT conv_id, turn, max({'a': -level, 'b': weight, 'c': origin}).c AS parent, sum(n)::BIGINT AS links
+    FROM (SELECT conv_id, turn, level, origin, sum(weight) AS weight, count(*) AS n FROM links GROUP BY ALL)
+    GROUP BY conv_id, turn
+), up AS (
+    SELECT conv_id, turn, turn AS thread, 0::BIGINT AS depth FROM m
+    UNION
+    SELECT u.conv_id, u.turn, p.parent, u.depth + 1 FROM up u JOIN parents p ON u.conv_id = p.conv_id AND u.thread = p.turn
+), tops AS (
+    SELECT conv_id, turn, max({'d': depth, 't': thread}) AS top FROM up GROUP BY conv_id, turn
+)
+SELECT r.conv_id, r.turn, r.role, r.reply AS text, coalesce(p.parent, -1) AS parent, t.top.t AS thread, t.top.d AS depth, coalesce(p.links, 0) AS links
+FROM r JOIN tops t ON r.conv_id = t.conv_id AND r.turn = t.turn
+LEFT JOIN parents p ON r.conv_id = p.conv_id AND r.turn = p.turn
+"""
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = landed(document_rows(_table(spark, sf_dir, "documents"), "doc_id", "text", "source"), "rows")
     targets, blocks = mix_sources(rows, weights=(1, 2, 3), most=3, shards=16, block_words=256)
@@ -261,6 +345,7 @@ QUERIES = {
     "op4_substring": (op4_substring, OP4_SQL),
     "op5_line_quality": (op5_line_quality, None),
     "op6_merkle": (op6_merkle, OP6_SQL),
+    "op7_quotation_linking": (op7_quotation_linking, OP7_SQL),
     "op8_mixing": (op8_mixing, OP8_SQL),
     "op9_byte_bpe": (op9_byte_bpe, None),
     "op10_secret_scan": (op10_secret_scan, None),
