@@ -96,7 +96,7 @@ def next_rows(rows: DataFrame, key: list[str]) -> DataFrame:
 
 
 def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows ``id, n_chars, edited, fingerprint, edited_fingerprint, next_fingerprint``: each text, the text with its last half
+    """Rows ``id, n_chars, edited, fingerprint, edited_fingerprint, next_id, next_fingerprint``: each text, the text with its last half
     replaced by as many characters from the start of the next document, and the next document.
 
     Documents follow each other by id, null ids first, those of one id by a hash of their texts; the first follows
@@ -106,27 +106,39 @@ def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text")
     plain = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.select(F.col(id).alias("id"), F.xxhash64(plain).alias("mark"), plain.alias("text"))
     half = F.floor(F.length("text") / 2).alias("half")
-    sizes = landed(keyed.select("id", "mark", half), "sizes")
+    sizes = landed(keyed.select("id", "mark", half).distinct(), "sizes")
     order = next_rows(sizes, ["id", "mark"])
-    o, s = order.alias("o"), sizes.distinct().alias("s")
+    o, s = order.alias("o"), sizes.alias("s")
     same = F.col("o.id").eqNullSafe(F.col("s.id")) & (F.col("o.mark") == F.col("s.mark"))
-    wanted = landed(o.join(s, same).select("o.*", "s.half"), "order")
-    # Both joins read the texts in the same partitions, so they are shuffled once.
-    full = with_fingerprint(keyed, "text", "fingerprint")
+    # Keys without nulls, under which all that follows is partitioned alike. Both joins read the same columns of the
+    # texts, so these are shuffled once.
+    wanted = landed(
+        o.join(s, same).select(
+            F.isnull("o.id").alias("none"), _name("o.id").alias("name"), "o.mark", "s.half",
+            F.isnull("o.next_id").alias("next_none"), _name("o.next_id").alias("next_name"), "o.next_mark",
+        ),
+        "order",
+    )
+    key = ["none", "name", "mark"]
+    named = keyed.select("id", F.isnull("id").alias("none"), _name("id").alias("name"), "mark", "text")
+    full = with_fingerprint(named, "text", "fingerprint")
     d, w = full.alias("d"), wanted.alias("w")
-    follows = F.col("d.id").eqNullSafe(F.col("w.next_id")) & (F.col("d.mark") == F.col("w.next_mark"))
+    follows = [F.col(f"d.{k}") == F.col(f"w.next_{k}") for k in key]
     one = d.join(w, follows).select(
-        "w.id", "w.mark", F.expr("substring(d.text, 1, w.half)").alias("piece"),
-        F.col("d.fingerprint").alias("next_fingerprint"),
+        *(f"w.{k}" for k in key), F.expr("substring(d.text, 1, w.half)").alias("piece"),
+        F.col("d.id").alias("next_id"), F.col("d.fingerprint").alias("next_fingerprint"),
     )
     # A repeated row is the same text: one of them is enough as what follows.
-    n = one.dropDuplicates(["id", "mark"]).alias("n")
-    own = F.col("d.id").eqNullSafe(F.col("n.id")) & (F.col("d.mark") == F.col("n.mark"))
-    joined = d.join(n, own).select(
-        "d.id",
-        F.length("d.text").cast("long").alias("n_chars"),
-        F.expr("concat(substring(d.text, 1, length(d.text) - floor(length(d.text) / 2)), n.piece)").alias("edited"),
-        "d.fingerprint",
-        "n.next_fingerprint",
+    joined = full.join(one.dropDuplicates(key), key).select(
+        "id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.expr("concat(substring(text, 1, length(text) - floor(length(text) / 2)), piece)").alias("edited"),
+        "fingerprint",
+        "next_id",
+        "next_fingerprint",
     )
     return with_fingerprint(joined, "edited", "edited_fingerprint")
+
+
+def _name(id: str) -> Column:
+    return F.coalesce(F.col(id).cast("string"), F.lit(""))

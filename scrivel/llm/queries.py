@@ -125,6 +125,7 @@ def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         likeness(own, edited).alias("near_edited"),
         likeness(own, other).alias("near_next"),
         F.coalesce(first_difference(own, edited, "[;,]"), F.lit(0)).alias("edited_paragraph"),
+        F.col("next_id").alias("next_doc_id"),
     )
 
 
@@ -159,7 +160,8 @@ WITH d AS (
     FROM e JOIN bodies a ON e.text = a.text JOIN bodies b ON e.edited = b.text
 ), followed AS (
     SELECT *, coalesce(lead(fingerprint) OVER w, first(fingerprint) OVER w) AS next_fingerprint,
-           coalesce(lead(pieces) OVER w, first(pieces) OVER w) AS next_pieces
+           coalesce(lead(pieces) OVER w, first(pieces) OVER w) AS next_pieces,
+           coalesce(lead(doc_id) OVER w, first(doc_id) OVER w) AS next_doc_id
     FROM marked WINDOW w AS (ORDER BY doc_id)
 )
 SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, fingerprint, edited_fingerprint,
@@ -169,7 +171,8 @@ SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, fingerprint, edited_fin
            2.0::DOUBLE * len(list_intersect(pieces, next_pieces)) / (len(pieces) + len(next_pieces)) END AS near_next,
        CASE WHEN fingerprint = edited_fingerprint THEN 0 ELSE
            list_position(list_transform(generate_series(1, greatest(len(own_parts), len(edited_parts))),
-                         lambda i: coalesce(own_parts[i] = edited_parts[i], false)), false)::BIGINT END AS edited_paragraph
+                         lambda i: coalesce(own_parts[i] = edited_parts[i], false)), false)::BIGINT END AS edited_paragraph,
+       next_doc_id
 FROM followed
 """
 
