@@ -327,7 +327,9 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "secrets")
     base = F.filter("secrets", lambda s: s["kind"].isin(*KINDS[:3]))
-    counts = {f"n_{k}": F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("long") for k in KINDS[:3]}
+
+    def count(kind):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
 
     def line(spans):
         each = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
@@ -335,7 +337,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return found.select(
         "doc_id",
-        *(c.alias(name) for name, c in counts.items()),
+        *(count(kind).alias(f"n_{kind}") for kind in KINDS[:3]),
         F.sha2(line(base), 256).alias("base_sha256"),
         line(F.col("secrets")).alias("spans"),
     )

@@ -179,7 +179,8 @@ def spans(raw: bytes) -> list[tuple[str, int, int]]:
     for m in _HEX_DER.finditer(text):
         if len(m[0]) % 2 == 0 and (kind := _is_key(bytes.fromhex(m[0]))):
             found.append((kind, m.start(), m.end()))
-    found += [("pem", m.start(), m.end()) for m in _PEM.finditer(text) if is_pem_key(m[1], m[2])]
+    blocks = [("pem", m.start(), m.end()) for m in _PEM.finditer(text) if is_pem_key(m[1], m[2])]
+    found = [s for s in found if s[0] != "key" or not any(b[1] <= s[1] and s[2] <= b[2] for b in blocks)] + blocks
     return sorted(set(found), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
