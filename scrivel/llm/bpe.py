@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,11 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scrivel.llm.columns import Batches, add_column
 from scrivel.llm.pieces import Dictionary, sliced, spread
 
-#: Bytes of text whose new pieces are replayed together, and pieces a task remembers.
-SLICE_BYTES = 8_000_000
-MAX_PIECES = 400_000
+#: Bytes of text whose new pieces are replayed together, and words a task remembers.
+SLICE_BYTES = 4_000_000
+MAX_WORDS = 400_000
 _NONE = np.int32(2**31 - 1)
 
 
@@ -195,6 +197,47 @@ def piece_ids(merges: Merges, fresh: list[str]) -> tuple[np.ndarray, np.ndarray]
     return laid, counts
 
 
+class Words:
+    """Ids of texts by their words. A text may be cut at any blank that follows something other than white space, because a
+    piece begins there whatever comes next; so equal words have equal ids."""
+
+    def __init__(self, merges: Merges, pattern: str):
+        self.cut = piece_pattern(pattern).findall
+        self.pieces = Dictionary(lambda fresh: piece_ids(merges, fresh))
+        self.words = Dictionary(self._encode)
+
+    def numbers(self, text: str) -> np.ndarray:
+        """Numbers of the words: a string is a word with a blank before it, a tuple holds any stretch as it is."""
+        if _SPACED(text):
+            keys = [(part,) for part in _CUTS.split(text)]
+        else:
+            first, *keys = text.split(" ")
+            keys.insert(0, (first,))
+        return np.fromiter(map(self.words.number.__getitem__, keys), np.int64, len(keys))
+
+    def _encode(self, fresh: list[str | tuple[str]]) -> tuple[np.ndarray, np.ndarray]:
+        number = self.pieces.number.__getitem__
+        cut = [self.cut(word[0] if isinstance(word, tuple) else " " + word) for word in fresh]
+        flat = np.fromiter((number(p) for found in cut for p in found), np.int64)
+        self.pieces.learn()
+        of_word = np.repeat(np.arange(len(cut)), [len(found) for found in cut])
+        sizes = np.bincount(of_word, weights=np.diff(self.pieces.start)[flat], minlength=len(cut))
+        return self.pieces.encoded(flat), sizes.astype(np.int64)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts end to end, and how many each has."""
+        if len(self.words.number) > MAX_WORDS:
+            self.pieces, self.words = Dictionary(self.pieces.encode), Dictionary(self._encode)
+        found = [self.numbers(t) for t in texts]
+        self.words.learn()
+        ids = [self.words.encoded(f) for f in found]
+        return np.concatenate([np.zeros(0, np.int32), *ids]), np.array([len(i) for i in ids], np.int64)
+
+
+_SPACED = re.compile(r"\s ").search
+_CUTS = regex.compile(r"(?<=\P{White_Space})(?= )", regex.V1)
+
+
 def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
     """All rows and columns with ``out``, the ids of the whole text, as array<int>.
 
@@ -202,47 +245,39 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text
     characters are encoded; rows are independent, so ties, repeated and no rows need no rule. A column that is
     called as ``out`` is replaced. ``ranks_path`` has to be readable by the workers.
     """
-    rows = docs.withColumn("__text", F.col(text)).drop(out)
-    kept = [f for f in rows.schema.fields if f.name != "__text"]
-    rows = rows.select(*(F.col(f"`{f.name}`") for f in kept), "__text")
-    schema = T.StructType([*kept, T.StructField(out, T.ArrayType(T.IntegerType(), False))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges, cut = Merges(read_ranks(ranks_path)), piece_pattern(pattern).findall
-        words = Dictionary(lambda fresh: piece_ids(merges, fresh))
+
+    def run(batches: Batches) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+        words = Words(Merges(read_ranks(ranks_path)), pattern)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+            texts = batch.column("of")
             sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
             for begin, end in sliced(sizes, SLICE_BYTES):
-                if len(words.number) > MAX_PIECES:
-                    words = Dictionary(lambda fresh: piece_ids(merges, fresh))
-                number = words.number.__getitem__
-                found = [
-                    np.fromiter(map(number, cut(t.as_py() or "")), np.int64)
-                    for t in texts.slice(begin, end - begin)
-                ]
-                words.learn()
-                ids = [words.encoded(f) for f in found]
-                starts = np.r_[0, np.cumsum([len(i) for i in ids])].astype(np.int32)
-                column = pa.ListArray.from_arrays(pa.array(starts), pa.array(np.concatenate(ids)))
                 part = batch.slice(begin, end - begin)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], column], schema.fieldNames())
+                ids, counts = words.encode([t.as_py() or "" for t in part.column("of")])
+                starts = np.r_[0, np.cumsum(counts)].astype(np.int32)
+                yield part, pa.ListArray.from_arrays(pa.array(starts), pa.array(ids))
 
-    return rows.mapInArrow(run, schema)
+    return add_column(docs, F.col(text), out, T.ArrayType(T.IntegerType(), False), run)
 
 
 def bpe_decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """All rows and columns with ``out``, the bytes that the ids stand for. Null ids give null."""
-    rows = encoded.drop(out).withColumn("__ids", F.col(ids))
-    kept = [f for f in rows.schema.fields if f.name != "__ids"]
-    schema = T.StructType([*kept, T.StructField(out, T.BinaryType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = read_ranks(ranks_path).__getitem__
+    def run(batches: Batches) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+        tokens = read_ranks(ranks_path)
+        size = np.array([len(t) for t in tokens], np.int64)
+        laid, start = np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(size) - size
         for batch in batches:
-            lists = batch.column(batch.num_columns - 1)
-            plain = [None if i is None else b"".join(map(token, i)) for i in lists.to_pylist()]
-            columns = [*batch.columns[:-1], pa.array(plain, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
+            lists = batch.column("of")
+            counts = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_pylist()
+            for begin, end in sliced(counts, SLICE_BYTES // 8):
+                part = batch.slice(begin, end - begin)
+                given = part.column("of").flatten().to_numpy(zero_copy_only=False)
+                data = laid[spread(start[given], size[given])].tobytes()
+                many = np.r_[0, np.cumsum(counts[begin:end])]
+                cuts = np.r_[0, np.cumsum(size[given])][many].tolist()
+                there = part.column("of").is_valid().to_pylist()
+                plain = [data[a:b] if ok else None for ok, a, b in zip(there, cuts, cuts[1:], strict=False)]
+                yield part, pa.array(plain, pa.binary())
 
-    return rows.mapInArrow(run, schema)
+    return add_column(encoded, F.col(ids), out, T.BinaryType(), run)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scrivel.llm.columns import Batches, add_column
 from scrivel.llm.pieces import sliced
 
 #: The model is fitted on this many labelled documents at most, those of the smallest hash of their id.
@@ -272,18 +273,13 @@ def line_quality(docs: DataFrame, field: LineField, text: str = "text", out: str
     A null or empty text is one empty line. Nothing but the text is looked at; repeated rows score alike, an
     empty table gives no rows. A column that is called as ``out`` is replaced.
     """
-    rows = docs.withColumn("__text", F.col(text).cast("binary")).drop(out)
-    kept = [f for f in rows.schema.fields if f.name != "__text"]
-    rows = rows.select(*(F.col(f"`{f.name}`") for f in kept), "__text")
-    schema = T.StructType([*kept, T.StructField(out, T.DoubleType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+            texts = batch.column("of")
             lengths = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
             for begin, end in sliced(lengths, SLICE_BYTES):
                 part = batch.slice(begin, end - begin)
-                score = field.score([t or b"" for t in part.column(part.num_columns - 1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(score)], schema.fieldNames())
+                yield part, pa.array(field.score([t or b"" for t in part.column("of").to_pylist()]))
 
-    return rows.mapInArrow(run, schema)
+    return add_column(docs, F.col(text).cast("binary"), out, T.DoubleType(), run)

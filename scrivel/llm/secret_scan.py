@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scrivel.llm.columns import Batches, add_column
+
 #: Kinds of spans in the order in which spans of one start are listed; the first three go by pattern alone.
 KINDS = ("assign", "access", "hex", "jwt", "key", "pem")
 
@@ -184,34 +186,23 @@ def spans(raw: bytes) -> list[tuple[str, int, int]]:
     return sorted(set(found), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-def _with_texts(docs: DataFrame, text: str, dropped: str | None) -> tuple[DataFrame, list[T.StructField]]:
-    rows = docs.withColumn("__text", F.col(text).cast("binary"))
-    rows = rows.drop(dropped) if dropped else rows
-    kept = [f for f in rows.schema.fields if f.name != "__text"]
-    return rows.select(*(F.col(f"`{f.name}`") for f in kept), "__text"), kept
-
-
 def find_secrets(docs: DataFrame, text: str = "text", out: str = "secrets") -> DataFrame:
     """All rows and columns with ``out``, an array of ``kind, start, end``; places count code points, ends are exclusive.
 
     Null and empty texts have none. Whole texts are read, however long. Rows are independent, so repeated rows and
     empty tables need no rule. A column that is called as ``out`` is replaced.
     """
-    rows, kept = _with_texts(docs, text, out)
-    span = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
-    schema = T.StructType([*kept, T.StructField(out, T.ArrayType(span))])
-    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+    fields = [T.StructField(name, kind) for name, kind in (("kind", T.StringType()), ("start", T.LongType()), ("end", T.LongType()))]
+    span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
         for batch in batches:
             found = [
-                [{"kind": k, "start": s, "end": e} for k, s, e in spans(t.as_py() or b"")]
-                for t in batch.column(batch.num_columns - 1)
+                [{"kind": k, "start": s, "end": e} for k, s, e in spans(t.as_py() or b"")] for t in batch.column("of")
             ]
-            columns = [*batch.columns[:-1], pa.array(found, kind)]
-            yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
+            yield batch, pa.array(found, span)
 
-    return rows.mapInArrow(run, schema)
+    return add_column(docs, F.col(text).cast("binary"), out, T.ArrayType(T.StructType(fields)), run)
 
 
 def without_spans(raw: bytes, mark: str) -> bytes:
@@ -229,18 +220,11 @@ def without_spans(raw: bytes, mark: str) -> bytes:
 def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """All rows and columns; in ``text`` every secret, or overlapping ones together, is replaced by ``mark``.
     Null texts stay null."""
-    rows, kept = _with_texts(docs, text, None)
-    at = [f.name for f in kept].index(text)
-    schema = T.StructType(kept)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
         for batch in batches:
-            clean = [
-                without_spans(t.as_py(), mark).decode() if t.is_valid else None
-                for t in batch.column(batch.num_columns - 1)
-            ]
-            columns = batch.columns[:-1]
-            columns[at] = pa.array(clean, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
+            clean = [without_spans(t.as_py(), mark).decode() if t.is_valid else None for t in batch.column("of")]
+            yield batch, pa.array(clean, pa.string())
 
-    return rows.mapInArrow(run, schema)
+    masked = add_column(docs, F.col(text).cast("binary"), text, T.StringType(), run)
+    return masked.select(*(F.col(f"`{c}`") for c in docs.columns))

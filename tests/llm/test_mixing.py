@@ -1,0 +1,101 @@
+from collections import Counter
+from math import comb
+
+import pytest
+from pyspark.sql import functions as F
+
+from scrivel.llm.landing import landed
+from scrivel.llm.mixing import (
+    _hypergeometric,
+    document_rows,
+    mix_sources,
+    mixed_documents,
+    shard_quotas,
+    source_targets,
+)
+
+
+def targets(spark, sizes):
+    df = spark.createDataFrame([(s, n, 1) for s, n in sizes], "source string, source_size long, blocks long")
+    return {r["source"]: r["target"] for r in source_targets(df).collect()}
+
+
+def test_weights_follow_the_order_of_sources_and_nulls_are_last(spark):
+    got = targets(spark, [("b", 1000), (None, 1000), ("a", 1000), ("é", 1000)])
+    assert got == pytest.approx({"a": 4000 / 7, "b": 8000 / 7, "é": 12000 / 7, None: 4000 / 7})
+
+
+def test_what_a_small_source_cannot_give_goes_to_the_others(spark):
+    got = targets(spark, [("a", 10), ("b", 10), ("c", 980), ("d", 0)])
+    assert got == pytest.approx({"a": 30, "b": 30, "c": 940, "d": 0})
+    assert targets(spark, [("a", 0)]) == {"a": 0}
+
+
+def test_the_draw_follows_its_distribution(spark):
+    df = spark.range(20000).select((F.col("id") / 20000 + 1 / 40000).alias("u"))
+    for n, k, m in ((20, 7, 9), (5, 5, 2), (8, 3, 8), (30, 1, 15)):
+        all_, marked, drawn = (F.lit(x).cast("long") for x in (n, k, m))
+        got = Counter(r[0] for r in df.select(_hypergeometric(F.col("u"), all_, marked, drawn)).collect())
+        for x in range(m + 1):
+            share = comb(k, x) * comb(n - k, m - x) / comb(n, m) if m - x <= n - k else 0
+            assert got[x] / 20000 == pytest.approx(share, abs=2e-3)
+
+
+def test_shards_share_every_block_and_are_alike_in_size(spark):
+    counts = {"a": 1000, "b": 10, None: 333333, "z": 0}
+    df = spark.createDataFrame(list(counts.items()), "source string, taken long")
+    got = {r["source"]: r["ends"] for r in shard_quotas(df, 8, "s").collect()}
+    quota = {s: [b - a for a, b in zip([0, *e], e, strict=False)] for s, e in got.items()}
+    assert {s: sum(q) for s, q in quota.items()} == counts
+    assert all(x >= 0 for q in quota.values() for x in q)
+    size = [sum(q[i] for q in quota.values()) for i in range(8)]
+    assert max(size) - min(size) <= 3
+    assert max(quota["a"]) - min(quota["a"]) < 120
+    with pytest.raises(ValueError, match="power of two"):
+        shard_quotas(df, 6, "s")
+
+
+@pytest.fixture(scope="module")
+def odd_mix(odd_docs):
+    rows = landed(document_rows(odd_docs, "doc_id", "text", "source"))
+    sources, blocks = mix_sources(rows, block_words=16, shards=4)
+    return rows.collect(), sources.collect(), blocks.collect()
+
+
+def test_words_taken_are_the_targets(odd_mix, odd_rows):
+    rows, sources, blocks = odd_mix
+    assert len(rows) == len(odd_rows)
+    size = {(r["id"], r["mark"], r["nth"]): (r["source"], r["size"]) for r in rows}
+    assert len(size) == len(rows)
+    by_source, by_row = Counter(), Counter()
+    for b in blocks:
+        key = (b["id"], b["mark"], b["nth"])
+        by_source[size[key][0]] += b["words"]
+        by_row[key] += b["words"]
+    assert sum(s["target"] for s in sources) == pytest.approx(sum(n for _, n in size.values()))
+    assert all(abs(by_source[s["source"]] - s["target"]) <= 0.5 for s in sources)
+    assert all(n <= 3 * size[key][1] for key, n in by_row.items())
+
+
+def test_blocks_are_disjoint_and_shards_alike(odd_mix):
+    _, _, blocks = odd_mix
+    assert len({(b["id"], b["mark"], b["nth"], b["pass"], b["block"]) for b in blocks}) == len(blocks)
+    per_shard = Counter(b["shard"] for b in blocks)
+    assert sorted(per_shard) == [0, 1, 2, 3]
+    assert max(per_shard.values()) - min(per_shard.values()) <= 2
+
+
+def test_runs_agree_whatever_the_partitions(spark, odd_docs, odd_mix):
+    rows = document_rows(odd_docs.repartition(5), "doc_id", "text", "source")
+    _, blocks = mix_sources(rows, block_words=16, shards=4)
+    assert sorted(map(repr, map(tuple, blocks.collect()))) == sorted(map(repr, map(tuple, odd_mix[2])))
+
+
+def test_whole_documents(odd_docs, odd_rows, no_docs):
+    mixed = mixed_documents(odd_docs.withColumn("pass", F.lit(1)).withColumn("id", F.lit("x")), shards=2)
+    assert mixed.columns == [*odd_docs.columns, "pass", "id"]
+    times = Counter(tuple(r)[:5] for r in mixed.collect())
+    assert set(times) <= set(odd_rows)
+    given = Counter(odd_rows)
+    assert all(n <= 3 * given[row] for row, n in times.items())
+    assert mixed_documents(no_docs).collect() == []
