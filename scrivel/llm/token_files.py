@@ -282,4 +282,6 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                         ["id", "start", "ids"],
                     )
 
-    return ranges.repartition("path", "low").mapInArrow(run, "id long, start long, ids binary")
+    # By number, so that the few rows that stand for large files stay apart.
+    parts = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return ranges.repartition(parts, "path", "low").mapInArrow(run, "id long, start long, ids binary")
