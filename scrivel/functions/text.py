@@ -9,11 +9,11 @@ are so that results stay comparable.
 from __future__ import annotations
 
 import html
+import json
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from scrivel.functions.charclass import (
     BOUNDARY,
@@ -40,33 +40,74 @@ PHONE = f"(?=[+{DIGIT}]){NOT_AFTER_DIGIT}\\+?{DIGIT}[{DIGIT}{SPACE}().-]{{7,}}{D
 URL = f"https?://[^{SPACE}<>'\"]++"
 ENTITY = f"(?=[A-Z]){NOT_AFTER_WORD}(?:[A-Z][A-Za-z0-9&.-]*+(?:[{SPACE}]++|\\z)){{1,5}}"
 
-# References frequent enough to decode without leaving the JVM. "&amp;" comes last:
+# References frequent enough to decode by plain replaces. "&amp;" comes last:
 # decoding it earlier could create references that were not in the text.
 _COMMON = ("lt", "gt", "quot", "#39", "#x27", "#x2F", "nbsp", "copy", "middot", "amp")
 _NEEDS_TABLE = f"&(?!(?:{'|'.join(_COMMON)});)(?=[#A-Za-z])"
 
+# A text as references, single ampersands and what lies between.
+_PIECES = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)|[^&]+|&"
+# Names that are known without a semicolon have no more letters than this, and two at least.
+_BARE = max(len(name) for name in html5 if not name.endswith(";"))
+# Numbers that stand for something else than their character: those of an old code page, and noncharacters.
+_ODD_NUMBERS = {
+    n: html.unescape(f"&#{n};")
+    for n in (*range(0xA0), *range(0xFDD0, 0xFDF0), *(p << 16 | 0xFFFE | i for p in range(17) for i in (0, 1)))
+    if html.unescape(f"&#{n};") != chr(n)
+}
+
 
 def _if_contains(c: Column, needle: str, changed: Column) -> Column:
     """Spare texts without ``needle`` the pattern; a byte search is far cheaper."""
     return F.when(F.contains(c, F.lit(needle)), changed).otherwise(c)
 
 
-@F.pandas_udf(StringType())
-def _unescape(values: pd.Series) -> pd.Series:
-    return values.map(html.unescape, na_action="ignore")
+def _table(values: dict) -> Column:
+    return F.from_json(F.lit(json.dumps(values)), "map<string,string>")
+
+
+def _numbered(piece: Column) -> Column:
+    """Character of a numeric reference; numbers beyond all characters give the replacement character."""
+    is_hex = F.lower(F.substring(piece, 3, 1)) == "x"
+    digits = F.regexp_extract(piece, r"^&#[xX]?0*([0-9a-fA-F]*)", 1)
+    given = F.when(digits == "", "0").when(F.length(digits) > 7, "110000").otherwise(digits)
+    number = F.when(is_hex, F.conv(given, 16, 10)).otherwise(F.conv(given, 10, 10)).cast("bigint")
+    beyond = (F.length(digits) > 7) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+    wide = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    odd = F.try_element_at(_table({str(n): c for n, c in _ODD_NUMBERS.items()}), number.cast("string"))
+    return F.when(beyond, "\ufffd").otherwise(F.coalesce(odd, wide))
+
+
+def _named(piece: Column) -> Column:
+    """Text of a named reference: of the whole name, or else of the longest beginning that is a name."""
+    names, name = _table(html5), F.substr(piece, F.lit(2))
+    whole = F.try_element_at(names, name)
+    beginnings = [
+        F.when(F.length(name) > n, F.concat(F.try_element_at(names, F.substring(name, 1, n)), F.substr(name, F.lit(n + 1))))
+        for n in range(_BARE, 1, -1)
+    ]
+    return F.coalesce(whole, *beginnings, piece)
 
 
 def decode_entities(c: Column) -> Column:
     """Decode every named and numeric character reference.
 
-    Texts whose references are all common ones are decoded by native replaces. Only
-    the others travel to Python; for the rest the Arrow column holds nulls.
+    Texts whose references are all common ones are decoded by plain replaces, only others piece by piece.
     """
     native = c
     for name in _COMMON:
         native = F.replace(native, F.lit(f"&{name};"), F.lit(html.unescape(f"&{name};")))
-    rare = F.when(F.contains(c, F.lit("&")) & F.rlike(c, F.lit(_NEEDS_TABLE)), c)
-    return F.coalesce(_unescape(rare), _if_contains(c, "&", native))
+
+    def decoded(piece: Column) -> Column:
+        return (
+            F.when(F.startswith(piece, F.lit("&#")) & (F.length(piece) > 2), _numbered(piece))
+            .when(F.startswith(piece, F.lit("&")) & (F.length(piece) > 1), _named(piece))
+            .otherwise(piece)
+        )
+
+    pieces = F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_PIECES), F.lit(0)), decoded), "")
+    rare = F.contains(c, F.lit("&")) & F.rlike(c, F.lit(_NEEDS_TABLE))
+    return F.when(rare, pieces).otherwise(_if_contains(c, "&", native))
 
 
 def strip_tags(c: Column) -> Column:

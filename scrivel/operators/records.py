@@ -35,6 +35,20 @@ def record_key(object_id: Column, story_id: Column, index: Column) -> Column:
     )
 
 
+def parse_stories(texts: DataFrame, column: str) -> DataFrame:
+    """Stories as JSON text to their columns, beside ``story``, the text as it came: it has keys that no schema knows."""
+    rest = [c for c in texts.columns if c != column]
+    parsed = texts.select(*rest, F.col(column).alias("story"), F.from_json(column, STORY).alias("__story"))
+    return parsed.select(*rest, "story", "__story.*")
+
+
+def envelope_json() -> Column:
+    """The envelope of an ingested story as JSON, around the story as it came."""
+    outer = ("source", "source_url", "collected_at")
+    story = F.coalesce("story", F.to_json("record"))
+    return json_object([(name, json_string(F.col(name))) for name in outer] + [("record", story)])
+
+
 def ingest_latest(
     stories: DataFrame,
     *order: Column,
@@ -45,7 +59,8 @@ def ingest_latest(
 ) -> DataFrame:
     """Envelope the first ``limit`` stories, newest first.
 
-    ``stories`` has the columns of :data:`scrivel.schemas.STORY`; missing ones are null.
+    ``stories`` has the columns of :data:`scrivel.schemas.STORY`; missing ones are null. A column ``story``, the
+    whole text of a story, is kept.
     ``order`` must end in a unique key. The result adds ``index`` from 1 and the file
     ``stem``. The limit is the feature: it plans as a top-k per task, and only the
     ``limit`` survivors meet in the one task that numbers them.
@@ -61,13 +76,15 @@ def ingest_latest(
         for f in STORY
     ]
     key = record_key(F.col("record.objectID"), F.col("record.story_id"), F.col("index"))
-    return top.select("index", F.struct(*fields).alias("record")).select(
+    text = (F.col("story") if "story" in stories.columns else F.lit(None).cast("string")).alias("story")
+    return top.select("index", text, F.struct(*fields).alias("record")).select(
         "index",
         F.format_string("%02d_%s", "index", key).alias("stem"),
         F.lit(source).alias("source"),
         F.lit(source_url).alias("source_url"),
         (now if collected_at is None else collected_at).alias("collected_at"),
         "record",
+        "story",
     )
 
 

@@ -5,64 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key is hot beyond this share of all rows. Fewer than 1 / HOT_SHARE keys can be, so the
-# list of hot keys is safe to broadcast whatever the size of the data.
-HOT_SHARE = 0.001
-HOT_ROWS = 1_000_000
-SALTS = 512
 
-_SALT = "__salt"
-_HOT = "__hot"
+def skew_join(rows: DataFrame, per_key: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join ``rows`` to a table with at most one row per key, in a form that adaptive execution can split.
 
-
-def hot_keys(rows: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys owning more than :data:`HOT_SHARE` of the rows and ``min_rows`` of them.
-
-    Reads the key column only; counts are combined before the shuffle.
+    It splits a partition that is far larger than others, whatever key fills it, and gives each part the
+    key's row; how large is up to ``spark.sql.adaptive.skewJoin.*``. That takes plain shuffles on
+    both sides. ``per_key`` mostly comes out of an aggregate by the key and would be joined where it
+    is, so the join is on the key as a struct, which no table is partitioned by. Null keys meet.
     """
-    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
-    total = rows.agg(F.count("*")).scalar()
-    return counts.filter(
-        (F.col("n") > min_rows) & (F.col("n") > total * F.lit(HOT_SHARE))
-    ).select(key)
-
-
-def salted_join(
-    rows: DataFrame,
-    per_key: DataFrame,
-    key: str,
-    how: str = "inner",
-    spread: Column | None = None,
-    sized_by: DataFrame | None = None,
-    min_rows: int = HOT_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Join ``rows`` to a table with at most one row per key.
-
-    Rows of hot keys are spread over ``salts`` partitions, where a copy of the key's row
-    waits for each. Other keys join as usual. ``spread`` (default: a hash of the row) tells the
-    rows of a key apart; it must not be random, so that a recomputed task agrees with itself.
-    ``sized_by`` may name a cheaper table to count keys in, if it holds all of ``rows``.
-    """
-    spread = F.xxhash64(*rows.columns) if spread is None else spread
-    hot = F.broadcast(
-        hot_keys(rows if sized_by is None else sized_by, key, min_rows).withColumn(
-            _HOT, F.lit(True)
-        )
-    )
-    none = F.lit(0).cast("bigint")
-    salt = F.when(F.col(_HOT), F.pmod(F.col(_SALT), F.lit(salts))).otherwise(none)
-    left = rows.withColumn(_SALT, spread).join(hot, key, "left").withColumn(_SALT, salt)
-    each = F.sequence(none, F.lit(salts - 1).cast("bigint"))
-    copies = F.explode(F.when(F.col(_HOT), each).otherwise(F.array(none)))
-    right = per_key.join(hot, key, "left").withColumn(_SALT, copies)
-    return left.drop(_HOT).join(right.drop(_HOT), [key, _SALT], how).drop(_SALT)
+    right = per_key.withColumnRenamed(key, "__key")
+    same = F.struct(F.col(key).alias("key")) == F.struct(F.col("__key").alias("key"))
+    return rows.join(right, same, how).drop("__key")
 
 
 def running(
-    points: DataFrame, keys: list[str], position: str, chunk: int, value: Column, kind: str, out: str
-) -> DataFrame:
-    """Running ``sum`` or ``max`` of ``value`` per key in order of ``position``.
+    points: DataFrame, keys: list[str], position: str, chunk: int, value: Column, kind: str, out: str,
+    before: bool = False,
+) -> DataFrame:
+    """Running ``sum`` or ``max`` of ``value`` per key in order of ``position``, with the point itself or,
+    if ``before``, without it.
 
     A plain window would sort all points of a key in one task. Here each task scans ``chunk``
     consecutive positions, a window over one row per chunk carries the result across, and
@@ -73,9 +35,8 @@ def running(
         "__value", value
     )
     inside = Window.partitionBy(*keys, "__chunk").orderBy(position)
-    local = parted.withColumn(
-        "__local", fold("__value").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    )
+    frame = inside.rowsBetween(Window.unboundedPreceding, -1 if before else 0)
+    local = parted.withColumn("__local", fold("__value").over(frame))
     across = Window.partitionBy(*keys).orderBy("__chunk")
     carried = (
         parted.groupBy(*keys, "__chunk")

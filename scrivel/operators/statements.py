@@ -1,7 +1,7 @@
 """Bank statements: table cells and text lines to ledger rows.
 
-Rows of one document are never gathered. The header of a table is found from the first two
-rows of a document, and every data row then meets its document's header map in a join.
+Rows of one document are never gathered. What a document's rows have in common, its header and whether
+any row fits it, is found from five of them at most, and every row then meets it in a join.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from scrivel.functions.amounts import (
     residual_text,
 )
 from scrivel.functions.charclass import strip
-from scrivel.operators.skew import salted_join
+from scrivel.operators.skew import skew_join
 
 # Words that tell what a header cell stands for.
 HEADER_WORDS = {
@@ -59,79 +59,89 @@ def _is_empty(found: Column) -> Column:
     return F.coalesce(*(found[key] for key in HEADER_WORDS)).isNull()
 
 
-def header_maps(rows: DataFrame, position: tuple[str, ...] = POSITION) -> DataFrame:
-    """One row per document: ``header`` map, null if there is none, and its position ``at``.
+def document_facts(rows: DataFrame, position: tuple[str, ...] = POSITION) -> DataFrame:
+    """One row per document: ``header`` map, null if there is none, its position ``at``, and ``fits``, whether any
+    row after it is wide enough for it.
 
-    The header is the first row if any word fits it, else the second one if that fits. Each task
-    keeps two rows per document before the shuffle, so long documents cost no more than short
+    The header is the first row if any word fits it, else the second one if that fits. The widest row after it is
+    among the three widest, since two are before it at most. So each task keeps the first two and
+    the three widest rows per document before the shuffle, and long documents cost no more than short
     ones. ``rows`` are cleaned already.
     """
-    order = F.struct(*position)
-    first_rows = Window.partitionBy("doc_id").orderBy(*position)
-    head = (
-        rows.select("doc_id", *position, "cells")
-        .withColumn("nth", F.row_number().over(first_rows))
-        .filter(F.col("nth") <= 2)
-        .select("doc_id", "nth", order.alias("at"), header_map(F.col("cells")).alias("found"))
+    at = F.struct(*position)
+    none = F.lit(None).cast("array<string>")
+    places = F.array(
+        F.struct(F.lit(True).alias("early"), F.lit(0).alias("rank"), F.col("cells").alias("cells")),
+        F.struct(F.lit(False).alias("early"), (-F.size("cells")).alias("rank"), none.alias("cells")),
     )
-    nth = lambda n, c: F.max(F.when(F.col("nth") == n, F.col(c)))
-    both = head.groupBy("doc_id").agg(
-        nth(1, "at").alias("at1"),
-        nth(1, "found").alias("found1"),
-        nth(2, "at").alias("at2"),
-        nth(2, "found").alias("found2"),
+    each = rows.select("doc_id", *position, F.explode(places).alias("p")).select("doc_id", *position, "p.*")
+    best = Window.partitionBy("doc_id", "early").orderBy("rank", *position)
+    kept = (
+        each.withColumn("nth", F.row_number().over(best))
+        .filter(F.col("nth") <= 3)
+        .select(
+            "doc_id", "early", "nth", at.alias("at"), (-F.col("rank")).alias("size"),
+            F.when(F.col("nth") <= 2, header_map(F.col("cells"))).alias("found"),
+        )
+    )
+    first = lambda n, c: F.max(F.when(F.col("early") & (F.col("nth") == n), F.col(c)))
+    wide = F.collect_list(F.when(~F.col("early"), F.struct("at", "size")))
+    both = kept.groupBy("doc_id").agg(
+        *(first(n, c).alias(f"{c}{n}") for n in (1, 2) for c in ("at", "found")), wide.alias("wide")
     )
     use1 = ~_is_empty(F.col("found1"))
     use2 = F.col("found2").isNotNull() & ~_is_empty(F.col("found2"))
-    return both.select(
+    found = both.select(
         "doc_id",
         F.when(use1, F.col("found1")).when(use2, F.col("found2")).alias("header"),
         F.when(use1, F.col("at1")).when(use2, F.col("at2")).otherwise(F.col("at1")).alias("at"),
+        "wide",
     )
+    fits = F.exists("wide", lambda w: (w["at"] > F.col("at")) & (w["size"] > _width(F.col("header"))))
+    return found.select("doc_id", "header", "at", (F.col("header").isNotNull() & fits).alias("fits"))
 
 
-def table_ledger(
-    rows: DataFrame, position: tuple[str, ...] = POSITION, **skew: int
-) -> DataFrame:
+def header_maps(rows: DataFrame, position: tuple[str, ...] = POSITION) -> DataFrame:
+    return document_facts(rows, position).select("doc_id", "header", "at")
+
+
+def _width(header: Column) -> Column:
+    return F.greatest(*(header[key] for key in HEADER_WORDS))
+
+
+def _is_data(position: tuple[str, ...]) -> Column:
+    """Rows after the header that are wide enough for it; all rows after the first without one."""
+    header = F.col("header")
+    return (F.struct(*position) > F.col("at")) & (
+        header.isNull() | (F.size("cells") > _width(header))
+    )
+
+
+def _table_columns() -> dict[str, Column]:
+    """Ledger columns out of ``cells`` and ``header``."""
+    header, cells = F.col("header"), F.col("cells")
+    known = ~_is_empty(header)
+    cell = {key: F.get(cells, header[key]) for key in HEADER_WORDS}
+    return cell | {
+        "日期": F.when(known, parse_date(cell["日期"])),
+        "方向": direction(cell["金额"]),
+        "金额": F.when(known, clean_amount(cell["金额"])),
+        "原始数据": F.when(~known, F.array_join(cells, " | ")),
+    }
+
+
+def table_ledger(rows: DataFrame, position: tuple[str, ...] = POSITION) -> DataFrame:
     """Rows of table cells to ledger rows.
 
     Rows up to the header are dropped, and so are rows too short for it. Documents without a header
-    give their rows, but for the first, as ``原始数据``. ``skew`` goes to
-    :func:`scrivel.operators.skew.salted_join`.
+    give their rows, but for the first, as ``原始数据``.
     """
     filled = clean_cells(rows)
-    joined = salted_join(
-        filled,
-        header_maps(filled, position),
-        "doc_id",
-        spread=F.xxhash64(*position),
-        sized_by=rows,
-        **skew,
-    )
-    header, cells = F.col("header"), F.col("cells")
-    known = ~_is_empty(header)
-    width = F.greatest(*(header[key] for key in HEADER_WORDS))
-    data = joined.filter(
-        (F.struct(*position) > F.col("at")) & (header.isNull() | (F.size(cells) > width))
-    )
-    picked = data.select(
-        "doc_id",
-        *position,
-        known.alias("known"),
-        *(F.get(cells, header[key]).alias(key) for key in HEADER_WORDS),
-        F.when(~known, F.array_join(cells, " | ")).alias("原始数据"),
-    )
-    amount = F.col("金额")
-    return picked.withColumn("金额", F.when(F.col("known"), clean_amount(amount))).select(
-        "doc_id",
-        *position,
-        F.when(F.col("known"), parse_date(F.col("日期"))).alias("日期"),
-        direction(amount).alias("方向"),
-        "金额",
-        "对方",
-        "余额",
-        "摘要",
-        "原始数据",
+    joined = skew_join(filled, document_facts(filled, position), "doc_id")
+    columns = _table_columns()
+    names = ("日期", "方向", "金额", "对方", "余额", "摘要", "原始数据")
+    return joined.filter(_is_data(position)).select(
+        "doc_id", *position, *(columns[n].alias(n) for n in names)
     )
 
 
@@ -154,21 +164,25 @@ def dated_lines(lines: DataFrame, amount_form: str | None = None) -> DataFrame:
     )
 
 
-def text_ledger(pages: DataFrame, amount_form: str | None = None) -> DataFrame:
-    """Page texts to ledger rows; no shuffle."""
-    found = dated_lines(text_lines(pages), amount_form)
+def _text_columns() -> dict[str, Column]:
+    """Ledger columns out of ``raw``, ``date`` and ``amounts``."""
     amounts = F.col("amounts")
     first, second = F.get(amounts, F.lit(0)), F.get(amounts, F.lit(1))
     amount = F.when(first.isNotNull(), clean_amount(first))
+    return {
+        "日期": parse_date(F.col("date")),
+        "方向": direction(amount),
+        "金额": amount,
+        "余额": F.when(second.isNotNull(), clean_amount(second)),
+        "对方/摘要": residual_text(F.col("raw"), F.col("date"), amounts),
+    }
+
+
+def text_ledger(pages: DataFrame, amount_form: str | None = None) -> DataFrame:
+    """Page texts to ledger rows; no shuffle."""
+    found = dated_lines(text_lines(pages), amount_form)
     rest = [c for c in found.columns if c not in ("raw", "date", "amounts")]
-    return found.select(
-        *rest,
-        parse_date(F.col("date")).alias("日期"),
-        direction(amount).alias("方向"),
-        amount.alias("金额"),
-        F.when(second.isNotNull(), clean_amount(second)).alias("余额"),
-        residual_text(F.col("raw"), F.col("date"), amounts).alias("对方/摘要"),
-    )
+    return found.select(*rest, *(c.alias(n) for n, c in _text_columns().items()))
 
 
 def statement_ledger(
@@ -176,18 +190,36 @@ def statement_ledger(
     pages: DataFrame,
     position: tuple[str, ...] = POSITION,
     amount_form: str | None = None,
-    **skew: int,
 ) -> DataFrame:
     """Ledger of each document from its tables, or from its text where tables give nothing.
 
-    Tables count if they have a header and at least one row fits it. The decision is made per
-    document before any text is split into lines.
+    Tables count if they have a header and at least one row fits it. Table rows and pages meet the document's facts
+    in one join, before any text is split into lines, and become ledger rows in one pass.
     """
-    tables = table_ledger(rows, position, **skew).filter(F.col("原始数据").isNull())
-    settled = tables.select("doc_id").distinct()
-    unsettled = salted_join(
-        pages, settled, "doc_id", "left_anti", spread=F.xxhash64("page"), **skew
+    filled = clean_cells(rows)
+    facts = document_facts(filled, position)
+    both = filled.unionByName(pages, allowMissingColumns=True)
+    joined = skew_join(both, facts, "doc_id", "left")
+    fits, is_table = F.coalesce("fits", F.lit(False)), F.col("cells").isNotNull()
+    kept = joined.filter(F.when(is_table, fits & _is_data(position)).otherwise(~fits))
+    # A table row stands for one line that is not looked at.
+    lines = F.when(is_table, F.array(F.lit(None).cast("string"))).otherwise(F.split("text", "\n"))
+    split = kept.select(
+        "doc_id", *position, "cells", "header", F.posexplode(lines).alias("nth", "line")
+    ).withColumn("raw", strip(F.col("line")))
+    found = split.filter(F.col("cells").isNotNull() | (F.col("raw") != ""))
+    amounts = find_amounts(F.col("raw")) if amount_form is None else find_amounts(F.col("raw"), amount_form)
+    dated = found.withColumns({"date": find_date(F.col("raw")), "amounts": amounts}).filter(
+        is_table | F.col("date").isNotNull() | (F.size("amounts") > 0)
+    )
+    table, text = _table_columns(), _text_columns()
+    pick = lambda name: F.when(is_table, table.get(name, F.lit(None).cast("string"))).otherwise(
+        text.get(name, F.lit(None).cast("string"))
+    )
+    names = [n for n in LEDGER_COLUMNS if n != "原始数据"]
+    return dated.select(
+        "doc_id",
+        *position,
+        F.when(~is_table, F.col("nth") + 1).alias("line_no"),
+        *(pick(n).alias(n) for n in names),
     )
-    texts = text_ledger(unsettled, amount_form)
-    ledger = tables.unionByName(texts, allowMissingColumns=True)
-    return ledger.drop("原始数据")

@@ -12,7 +12,6 @@ from scrivel.functions.charclass import squeeze
 from scrivel.functions.pseudonym import domain_hash, pseudonymize, public_tags
 from scrivel.operators import records
 from scrivel.plans.tables import SALT, stories, table
-from scrivel.session import spread
 from scrivel.sources.files import image_manifest
 
 
@@ -20,7 +19,7 @@ def _scrubbed(name: str, key: str, column: str, step):
     """A query applying one step to a whole text column."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        texts = spread(table(spark, sf_dir, name).select(key, column))
+        texts = table(spark, sf_dir, name).select(key, column)
         return texts.select(key, step(F.col(column)).alias("cleaned"))
 
     return query
@@ -103,6 +102,23 @@ def latest_stories(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def story_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes of the ten latest events, which carry keys that no schema knows."""
+    texts = table(spark, sf_dir, "events").select(
+        "ts",
+        "event_id",
+        F.concat(
+            F.lit('{"objectID": "'), F.col("event_id").cast("string"), F.lit('", "author": "é '),
+            "event_type", F.lit('", "_unknown": {"props": '), "props", F.lit(', "none": null}}'),
+        ).alias("text"),
+    )
+    found = records.ingest_latest(
+        records.parse_stories(texts, "text"), F.col("ts").desc(), F.col("event_id").desc(), limit=10,
+        source="events", source_url="https://data.example/events", collected_at=F.lit("2024-01-03T00:00:00Z"),
+    )
+    return found.select("stem", records.envelope_json().alias("envelope"))
+
+
 def scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     endings = F.array(*(F.lit(e) for e in (".PNG", ".jpeg", ".pdf", ".tar.bmp", "", ".heic/x")))
     path = F.concat(
@@ -272,6 +288,19 @@ QUERIES = {
         WHERE "index" <= 10
         """,
     ),
+    "raw_story_files": (
+        story_files,
+        """
+        SELECT printf('%02d_', "index") || event_id AS stem,
+               '{' || chr(10) || '  "source": "events",' || chr(10)
+               || '  "source_url": "https://data.example/events",' || chr(10)
+               || '  "collected_at": "2024-01-03T00:00:00Z",' || chr(10)
+               || '  "record": {"objectID": "' || event_id || '", "author": "é ' || event_type
+               || '", "_unknown": {"props": ' || props || ', "none": null}}' || chr(10) || '}' AS envelope
+        FROM (SELECT *, row_number() OVER (ORDER BY ts DESC, event_id DESC) AS "index" FROM events)
+        WHERE "index" <= 10
+        """,
+    ),
     "image_manifest": (
         scans,
         "SELECT 'in.png/p' || page_id || CASE page_id % 6 WHEN 0 THEN '.PNG' WHEN 1 THEN '.jpeg' "

@@ -7,8 +7,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrivel.session import landed, spread
-
 SALT = "demo"
 # Digits of a customer key as a name of four characters.
 NAME_DIGITS = "甲乙丙丁戊己庚辛壬癸"
@@ -26,7 +24,7 @@ def printed(c: Column) -> Column:
 
 def stories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in the envelope of a landed story, with empty and missing fields among them."""
-    d = spread(table(spark, sf_dir, "documents"))
+    d = table(spark, sf_dir, "documents")
     key = F.col("doc_id")
     record = F.struct(
         key.cast("string").alias("objectID"),
@@ -61,7 +59,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                               "o_totalprice", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
-    joined = spread(o).join(c, F.col("o_custkey") == F.col("c_custkey"))
+    joined = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
     sign = F.when(F.col("o_orderstatus") == "F", "-").otherwise("+")
     day = F.col("o_orderdate")
     forms = ("yyyy-MM-dd", "yyyy年M月d日", "yyyy/M/d", "yy-MM-dd")
@@ -87,15 +85,17 @@ def statement_pages(payments_: DataFrame) -> DataFrame:
     )
 
 
-def statement_rows(payments_: DataFrame, customers: DataFrame) -> DataFrame:
+def statement_rows(
+    payments_: DataFrame, customers: DataFrame, last_kind_fits: bool = True
+) -> DataFrame:
     """Table rows per customer, in four kinds: header first; header second and turned round;
-    no header; header first with blank and short rows in between."""
+    no header; header first with blank and short rows in between, or short rows only."""
     kind = F.col("o_custkey") % 4
     note = F.col("o_orderpriority")
     day, amount, balance, name = (F.col(c) for c in ("day", "amount", "balance", "c_name"))
     straight = F.array(F.concat(F.lit(" "), day), amount, name, F.concat(balance, F.lit("\t")), note)
     turned = F.array(note, balance, name, amount, day)
-    short = (kind == 3) & (F.col("o_orderkey") % 10 == 0)
+    short = (kind == 3) & ((F.col("o_orderkey") % 10 == 0) | F.lit(not last_kind_fits))
     cells = F.when(kind == 1, turned).when(short, F.slice(straight, 1, 3)).otherwise(straight)
     blank = F.array(F.lit(" "), F.lit(None).cast("string"))
     pair = F.when((kind == 3) & (F.col("o_orderkey") % 7 == 0), F.array(blank, cells)).otherwise(
@@ -129,12 +129,13 @@ def statement_rows(payments_: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def _box(text: Column, x: float, y: int, jitter: Column) -> Column:
+    """Every eleventh screen comes without heights."""
     return F.struct(
         text.alias("text"),
         F.lit(float(x)).alias("x"),
         (F.lit(float(y)) + jitter).alias("y"),
         F.lit(60.0).alias("w"),
-        F.lit(20.0).alias("h"),
+        F.when(F.col("o_orderkey") % 11 == 0, F.lit(0.0)).otherwise(F.lit(20.0)).alias("h"),
     )
 
 
@@ -147,7 +148,8 @@ def _mixed(boxes: Column, seed: Column) -> Column:
 
 
 def receipt_images(payments_: DataFrame) -> DataFrame:
-    """A screen per order: name, amount, balance, then labels with their values above them."""
+    """A screen per order: name, amount, balance, then labels with their values above them, and for every fifth
+    a label that has its value below, since another label is above."""
     key = F.col("o_orderkey")
     digits = F.lpad((F.col("o_custkey") % 10000).cast("string"), 4, "0")
     name = F.translate(digits, "0123456789", NAME_DIGITS)
@@ -180,6 +182,8 @@ def receipt_images(payments_: DataFrame) -> DataFrame:
         _box(lit("银行交易类型"), 20, 550, jitter),
         _box(F.col("c_name"), 200, 580, jitter),
         _box(lit("付款人"), 20, 610, jitter),
+        _box(F.when(key % 5 == 0, "付款账号"), 20, 640, -jitter),
+        _box(F.when(key % 5 == 0, F.concat(lit("6226"), F.col("o_custkey").cast("string"))), 200, 670, jitter),
     ]
     present = F.filter(F.array(*boxes), lambda b: b["text"].isNotNull())
     return payments_.select(
@@ -187,31 +191,53 @@ def receipt_images(payments_: DataFrame) -> DataFrame:
     )
 
 
-def text_images(documents: DataFrame) -> DataFrame:
-    """Whole documents as word boxes, one text line every 30 pixels, slightly out of line."""
+def text_images(documents: DataFrame, some_bare: bool = True) -> DataFrame:
+    """Whole documents as word boxes, a text line every 30 pixels, slightly out of line and of several heights.
+
+    Unless told otherwise every third document has boxes without heights, in lines exactly the default
+    tolerance apart.
+    """
     lines = F.split("text", "\n")
+    bare = F.lit(some_bare) & (F.col("doc_id") % 3 == 0)
 
     def place(line: Column, i: Column) -> Column:
         words = F.filter(F.split(line, " "), lambda w: w != "")
-        return F.transform(
-            words,
-            lambda w, j: F.struct(
+
+        def box(w: Column, j: Column) -> Column:
+            seed = F.xxhash64(w, j)
+            height = F.get(F.array(*(F.lit(h) for h in (0.0, 16.0, 20.0, 24.0))), F.pmod(seed, F.lit(4)).cast("int"))
+            centre = (i * 30 + F.pmod(seed, F.lit(9)) - 4).cast("double")
+            return F.struct(
                 w.alias("text"),
                 (j * 40).cast("double").alias("x"),
-                (i * 30 + F.pmod(F.xxhash64(w, j), F.lit(9)) - 4).cast("double").alias("y"),
+                F.when(bare, (i * 12).cast("double")).otherwise(centre - height / 2).alias("y"),
                 F.lit(36.0).alias("w"),
-                F.lit(20.0).alias("h"),
-            ),
-        )
+                F.when(bare, F.lit(0.0)).otherwise(height).alias("h"),
+            )
+
+        return F.transform(words, box)
 
     boxes = F.flatten(F.transform(lines, place))
-    return spread(documents).select("doc_id", F.to_json(_mixed(boxes, F.col("doc_id"))).alias("payload"))
+    return documents.select("doc_id", F.to_json(_mixed(boxes, F.col("doc_id"))).alias("payload"))
+
+
+def odd_payloads(payments_: DataFrame) -> DataFrame:
+    """A payload per order: boxes, none, null, blank, broken off, of another kind, or followed by more text."""
+    kind = F.col("o_orderkey") % 10
+    boxes = F.to_json(F.array(F.struct(F.col("c_name").alias("text"), F.lit(1.0).alias("x"), F.lit(2.0).alias("y"))))
+    odd = [
+        boxes, F.lit("[]"), F.lit(None).cast("string"), F.lit(" "), F.substring(boxes, 1, 9), F.lit('"text"'),
+        F.concat(boxes, F.lit(" oops")), F.concat(boxes, F.lit(","), boxes), F.concat(boxes, F.lit("]")),
+        F.concat(F.lit("\n"), boxes, F.lit(" \t")),
+    ]
+    payload = F.get(F.array(*odd), kind.cast("int"))
+    return payments_.select(F.col("o_orderkey").alias("doc_id"), payload.alias("payload"))
 
 
 def single_boxes(images: DataFrame) -> DataFrame:
     """Boxes landed one by one, as a table of their own."""
     single = images.select("doc_id", F.posexplode("items").alias("ord", "box"))
-    return landed(single.select("doc_id", "ord", "box.*"))
+    return single.select("doc_id", "ord", "box.*")
 
 
 def roster_pages(customers: DataFrame) -> DataFrame:

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def ship_by_value() -> None:
@@ -17,8 +14,14 @@ def ship_by_value() -> None:
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
-    """A session on one machine, for tests and measurements."""
+    """A session on one machine, for tests and measurements.
+
+    Files are cut into splits small enough for every core to have some.
+    """
     settings = {
+        "spark.sql.files.maxPartitionBytes": "4m",
+        "spark.sql.files.openCostInBytes": "256k",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
@@ -31,27 +34,3 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only on a single machine."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="scrivel-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def landed(df: DataFrame) -> DataFrame:
-    """Write a table that several passes read, and read it back with column pruning."""
-    path = f"{shared_folder(df.sparkSession)}/scrivel-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a table of a few splits out to all cores; larger tables stay as they are read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -26,17 +26,13 @@ def transaction_table(records: DataFrame, *keys: str) -> DataFrame:
     return records.withColumn("金额", signed).select(*keys, *TRANSACTION_COLUMNS)
 
 
-def ledger_table(ledger: DataFrame, *keys: str, drop_absent: bool = False) -> DataFrame:
+def ledger_table(ledger: DataFrame, *keys: str) -> DataFrame:
     """Priority columns first, other ones after them in their order, '' for what is missing.
 
-    ``drop_absent`` leaves out columns without a single value. That needs one pass over the
-    ledger, which returns one row of flags.
+    The columns are those of the ledger, whatever values it has; select fewer beforehand to leave some out.
     """
     ranked = [c for c in LEDGER_COLUMNS if c in ledger.columns]
     columns = ranked + [c for c in ledger.columns if c not in ranked and c not in keys]
-    if drop_absent:
-        seen = ledger.agg(*(F.max(F.col(c).isNotNull()).alias(c) for c in columns)).first()
-        columns = [c for c in columns if seen[c]]
     return ledger.select(*keys, *(F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns))
 
 
@@ -65,6 +61,10 @@ def markdown_line(n: Column, name: Column, note: Column) -> Column:
                        F.lit("|"))
 
 
+# The headings of a roster's text.
+_TAKEN_AT, _HEADS, _UNIT, _LIST = "抓取时间", "总人数", "人", "学员名单"
+
+
 def roster_markdown(found: DataFrame, taken_at: Column | None = None) -> DataFrame:
     """Add ``markdown``: title, time, head count and a numbered table, one text per section."""
     now = F.date_format(F.current_timestamp() if taken_at is None else taken_at,
@@ -77,8 +77,8 @@ def roster_markdown(found: DataFrame, taken_at: Column | None = None) -> DataFra
     )
     head = F.concat(
         F.lit("# "), "season", F.lit(" - "), "cohort",
-        F.lit("\n\n> 抓取时间: "), now,
-        F.lit("\n> 总人数: "), F.col("n_cards").cast("string"), F.lit("人\n\n## 学员名单\n\n"),
+        F.lit(f"\n\n> {_TAKEN_AT}: "), now,
+        F.lit(f"\n> {_HEADS}: "), F.col("n_cards").cast("string"), F.lit(f"{_UNIT}\n\n## {_LIST}\n\n"),
         F.lit(f"| {' | '.join(ROSTER_COLUMNS)} |\n|------|------|------|\n"),
     )
     lines = F.array_join(F.transform("cards", line), "")

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from scrivel.plans.registry import QUERIES
 
 SF_DIR = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))
 
@@ -26,7 +27,12 @@ def _values(frame):
     return sorted(frame.where(frame.notna(), None).itertuples(index=False, name=None), key=repr)
 
 
-@pytest.mark.parametrize("name", queries())
+def test_all_queries_of_the_package_are_registered():
+    assert set(QUERIES) <= set(queries())
+    assert {name for name, (_, text) in QUERIES.items() if text} <= set(oracle_sql())
+
+
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_sql(spark, sql, name):
     got = queries()[name](spark, str(SF_DIR)).toPandas()
     want = sql.execute(oracle_sql()[name]).df()

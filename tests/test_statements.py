@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from scrivel.functions.amounts import find_amounts, find_date, parse_date, residual_text
 from scrivel.operators import statements as S
-from scrivel.operators.skew import running, salted_join
+from scrivel.operators.skew import running, skew_join
 from scrivel.sinks.tables import ledger_table
 
 ROWS = "doc_id long, page int, table_no int, row_no int, cells array<string>"
@@ -37,6 +37,9 @@ def test_parse_date(evaluate_all):
         "2024-01-15 10:00": "2024-01-15 10:00",
         "2024-1- 5": "2024-01-05",
         "0000-01-01": "0000-01-01",
+        "٢٠٢٤-01-05": "2024-01-05",
+        "２０２４-1-1２": "2024-01-12",
+        "٠٠٠٠-01-01": "٠٠٠٠-01-01",
         "": "",
         None: "",
     }
@@ -107,34 +110,68 @@ def test_documents_fall_back_to_text(spark):
     assert got == {0: "2", 1: "9.00", 2: "9.00", 3: "9.00"}
     table = ledger_table(ledger.drop("line_no", "table_no", "row_no"), "doc_id", "page")
     assert table.columns == ["doc_id", "page", "日期", "方向", "金额", "对方", "余额", "摘要", "对方/摘要"]
-    slim = ledger_table(ledger.select("doc_id", "金额", "摘要"), "doc_id", drop_absent=True)
-    assert slim.columns == ["doc_id", "金额"]
 
 
-def test_hot_documents_are_spread(spark):
-    """Two thirds of the rows in one document: same result, several salts at work."""
-    hot = [["x", "1.00"]] * 400
-    docs = [[["日期", "金额"], *hot], *([["日期", "金额"], ["y", "2.00"]] for _ in range(100))]
-    rows = _rows(spark, *docs)
-    plain = S.table_ledger(rows).select("doc_id", "row_no", "金额")
-    salted = S.table_ledger(rows, min_rows=50, salts=7).select("doc_id", "row_no", "金额")
-    assert sorted(plain.collect()) == sorted(salted.collect())
-    assert plain.count() == 500
+def test_rows_before_the_header_do_not_fit_it(spark):
+    """The widest rows are the title and the header itself; only what follows counts."""
+    wide = ["x"] * 9
+    rows = _rows(spark, [wide, HEAD, ["short"]], [wide, HEAD, ["short"], HEAD], [HEAD], [wide, wide])
+    facts = {r["doc_id"]: r["fits"] for r in S.document_facts(S.clean_cells(rows)).collect()}
+    assert facts == {0: False, 1: True, 2: False, 3: False}
+    pages = spark.createDataFrame([(d, 1, "2024-2-2 9.00") for d in range(4)], "doc_id long, page int, text string")
+    got = sorted((r["doc_id"], r["金额"], r["line_no"]) for r in S.statement_ledger(rows, pages).collect())
+    assert got == [(0, "9.00", 1), (1, "贷方金额", None), (2, "9.00", 1), (3, "9.00", 1)]
 
 
-def test_salted_anti_join(spark):
-    rows = spark.createDataFrame([(i % 3 and 1, i) for i in range(300)], "k int, v int")
-    keys = spark.createDataFrame([(0,)], "k int")
-    left = salted_join(rows, keys, "k", "left_anti", min_rows=10, salts=5)
-    assert left.count() == 200 and left.columns == ["k", "v"]
-    assert salted_join(rows, keys, "k", "left_semi", min_rows=10, salts=5).count() == 100
+def test_one_document_with_most_rows(spark):
+    hot = [["x", "1.00"]] * 400
+    docs = [[["日期", "金额"], *hot], *([["日期", "金额"], ["y", "2.00"]] for _ in range(100))]
+    out = S.table_ledger(_rows(spark, *docs)).groupBy("doc_id", "金额").count().collect()
+    assert sorted(tuple(r) for r in out) == [(0, "1.00", 400), *((d, "2.00", 1) for d in range(1, 101))]
+
+
+def test_a_hot_key_is_split(spark):
+    """Both sides of the join are shuffles of its own, so that partitions can be split where they are read."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = spark.range(0, 60000, 1, 6).selectExpr("if(id % 10 > 0, 1, id) AS k", "id AS v")
+        per_key = rows.groupBy("k").agg(F.min("v").alias("least"))
+        joined = skew_join(rows, per_key, "k")
+        assert joined.count() == 60000
+        joined.write.format("noop").mode("overwrite").save()
+        plan = joined._jdf.queryExecution()
+        assert plan.toRdd().count() == 60000
+        assert "skew=true" in plan.executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_skew_join_kinds(spark):
+    rows = spark.createDataFrame([(i % 3 and 1, i) for i in range(300)] + [(None, 7)], "k int, v int")
+    keys = spark.createDataFrame([(0, "x")], "k int, w string")
+    assert skew_join(rows, keys, "k").columns == ["k", "v", "w"]
+    assert skew_join(rows, keys, "k").count() == 100
+    assert skew_join(rows, keys.select("k"), "k", "left_anti").count() == 201
+    assert skew_join(rows, keys, "k", "left").count() == 301
 
 
 def test_running_across_chunks(spark):
     points = spark.range(-50, 50).selectExpr("pmod(id, 2) AS k", "id AS at")
     total = {r["at"]: r["s"] for r in running(points, ["k"], "at", 8, F.col("at"), "sum", "s").collect()}
+    earlier = {r["at"]: r["m"] for r in running(points, ["k"], "at", 8, F.col("at"), "max", "m", before=True).collect()}
     for at in range(-50, 50):
         assert total[at] == sum(a for a in range(-50, at + 1) if abs(a) % 2 == abs(at) % 2)
+        assert earlier[at] == (at - 2 if at >= -48 else None)
 
 
 def test_header_rows_are_limited_before_the_shuffle(spark, tmp_path):
