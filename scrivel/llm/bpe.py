@@ -21,15 +21,14 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scrivel.llm.columns import Batches, add_column
 from scrivel.llm.pieces import Dictionary, sliced, spread
 
 #: Bytes of text whose new pieces are replayed together, and words a task remembers.
-SLICE_BYTES = 4_000_000
-MAX_WORDS = 400_000
+SLICE_BYTES = 2_000_000
+MAX_WORDS = 200_000
 _NONE = np.int32(2**31 - 1)
 
 
@@ -257,7 +256,7 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text
                 starts = np.r_[0, np.cumsum(counts)].astype(np.int32)
                 yield part, pa.ListArray.from_arrays(pa.array(starts), pa.array(ids))
 
-    return add_column(docs, F.col(text), out, T.ArrayType(T.IntegerType(), False), run)
+    return add_column(docs, text, out, T.ArrayType(T.IntegerType(), False), run)
 
 
 def bpe_decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -280,4 +279,4 @@ def bpe_decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", out: str =
                 plain = [data[a:b] if ok else None for ok, a, b in zip(there, cuts, cuts[1:], strict=False)]
                 yield part, pa.array(plain, pa.binary())
 
-    return add_column(encoded, F.col(ids), out, T.BinaryType(), run)
+    return add_column(encoded, ids, out, T.BinaryType(), run)

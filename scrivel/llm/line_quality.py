@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scrivel.llm.columns import Batches, add_column
+from scrivel.llm.columns import Batches, add_column, as_bytes
 from scrivel.llm.pieces import sliced
 
 #: The model is fitted on this many labelled documents at most, those of the smallest hash of their id.
@@ -28,7 +28,7 @@ MAX_TRAINING_DOCS = 4000
 #: Chains are cut after so many lines while fitting; scoring passes over whole documents.
 TRAINING_CHAIN = 64
 ROUNDS, STEPS, RIDGE = 3, 100, 1e-3
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 
 # Classes of bytes: lower, upper, digit, blank, sentence signs, exclamation, symbol, bar, other ASCII, first of a letter
 # beyond ASCII, rest of one.
@@ -280,6 +280,6 @@ def line_quality(docs: DataFrame, field: LineField, text: str = "text", out: str
             lengths = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
             for begin, end in sliced(lengths, SLICE_BYTES):
                 part = batch.slice(begin, end - begin)
-                yield part, pa.array(field.score([t or b"" for t in part.column("of").to_pylist()]))
+                yield part, pa.array(field.score([t or b"" for t in as_bytes(part.column("of")).to_pylist()]))
 
-    return add_column(docs, F.col(text).cast("binary"), out, T.DoubleType(), run)
+    return add_column(docs, text, out, T.DoubleType(), run)

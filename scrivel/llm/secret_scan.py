@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scrivel.llm.columns import Batches, add_column
+from scrivel.llm.columns import Batches, add_column, as_bytes
 
 #: Kinds of spans in the order in which spans of one start are listed; the first three go by pattern alone.
 KINDS = ("assign", "access", "hex", "jwt", "key", "pem")
@@ -198,11 +198,11 @@ def find_secrets(docs: DataFrame, text: str = "text", out: str = "secrets") -> D
     def run(batches: Batches) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
         for batch in batches:
             found = [
-                [{"kind": k, "start": s, "end": e} for k, s, e in spans(t.as_py() or b"")] for t in batch.column("of")
+                [{"kind": k, "start": s, "end": e} for k, s, e in spans(t.as_py() or b"")] for t in as_bytes(batch.column("of"))
             ]
             yield batch, pa.array(found, span)
 
-    return add_column(docs, F.col(text).cast("binary"), out, T.ArrayType(T.StructType(fields)), run)
+    return add_column(docs, text, out, T.ArrayType(T.StructType(fields)), run)
 
 
 def without_spans(raw: bytes, mark: str) -> bytes:
@@ -223,8 +223,8 @@ def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]")
 
     def run(batches: Batches) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
         for batch in batches:
-            clean = [without_spans(t.as_py(), mark).decode() if t.is_valid else None for t in batch.column("of")]
+            clean = [without_spans(t.as_py(), mark).decode() if t.is_valid else None for t in as_bytes(batch.column("of"))]
             yield batch, pa.array(clean, pa.string())
 
-    masked = add_column(docs, F.col(text).cast("binary"), text, T.StringType(), run)
+    masked = add_column(docs, text, text, T.StringType(), run)
     return masked.select(*(F.col(f"`{c}`") for c in docs.columns))
