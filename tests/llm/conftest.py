@@ -33,7 +33,3 @@ def odd_docs(spark, odd_rows):
 @pytest.fixture(scope="session")
 def no_docs(spark):
     return spark.createDataFrame([], SCHEMA)
-
-
-def by_key(rows):
-    return sorted(rows, key=lambda r: tuple((x is None, repr(type(x)), x) if not isinstance(x, (list, dict)) else repr(x) for x in r))
