@@ -38,6 +38,10 @@ _VOID = frozenset(
 _HIDDEN = frozenset(("script", "style", "template"))
 
 
+class _SectionEnds(Exception):
+    """The section is read."""
+
+
 class _SectionParser(HTMLParser):
     """Collects texts while reading; an end tag closes the nearest open tag of its name."""
 
@@ -47,7 +51,7 @@ class _SectionParser(HTMLParser):
         self.open: list[tuple[str, list[str]]] = []
         self.section: dict | None = None
         self.section_depth = self.header_depth = 0
-        self.header_seen = self.done = False
+        self.header_seen = False
         self.cards: list[tuple[int, dict]] = []
         self.sinks: list[tuple[int, list[str]]] = []
 
@@ -60,8 +64,6 @@ class _SectionParser(HTMLParser):
         return sink
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if self.done:
-            return
         classes = (dict(attrs).get("class") or "").split()
         self.open.append((tag, classes))
         here, lay = len(self.open), self.layout
@@ -100,7 +102,7 @@ class _SectionParser(HTMLParser):
         if self.header_depth >= depth:
             self.header_depth = 0
         if self.section is not None and self.section_depth >= depth:
-            self.done = True
+            raise _SectionEnds
 
     def handle_data(self, data: str) -> None:
         if self.sinks and not any(tag in _HIDDEN for tag, _ in self.open):
@@ -124,8 +126,11 @@ def _parse(html: str | None, layout: CardLayout) -> dict | None:
     if not html:
         return None
     parser = _SectionParser(layout)
-    parser.feed(html)
-    parser.close()
+    try:
+        parser.feed(html)
+        parser.close()
+    except _SectionEnds:  # the rest of the page is not read
+        pass
     return parser.result()
 
 
