@@ -5,9 +5,9 @@ gathers the distinct pieces of its slice, lays their bytes end to end and applie
 of them together, in rank order: an index from rank to the positions of its pairs says where a
 merge applies, and only the pairs to the left and right of a merged one are looked up again.
 
-The dictionary is one per task on purpose. A corpus-wide one would have to be joined back to the
-pieces of every task, which moves more bytes than the texts have, while replaying a piece again
-in another task costs microseconds.
+The dictionary is one per task on purpose. A corpus-wide one would have to come back to the texts, which takes a
+shuffle of the pieces of every task and one of the texts, while replaying a piece again in another task costs
+microseconds and nothing else.
 """
 
 from __future__ import annotations
