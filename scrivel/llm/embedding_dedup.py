@@ -29,6 +29,8 @@ TABLES, AXES, PROBES = 8, 3, 4
 SEED = 20240229
 #: Buckets up to this size are compared pair by pair, many at once; larger ones as matrices.
 SMALL = 48
+#: Products that are held at once while a large bucket is compared.
+STRIPE = 4_000_000
 
 
 def hadamard(v: np.ndarray) -> np.ndarray:
@@ -122,9 +124,10 @@ class _Bucket:
             r, c = np.nonzero(names[at] == before)
             holds[r, at[r, c]] = 1
         x, y = (holds, holds) if own else (holds[: len(left)], holds[len(left) :])
-        for s in range(0, len(left), 1024):
-            part = left[s : s + 1024]
-            near = (v[part] @ v[right].T >= self.least) & (x[s : s + 1024] @ y.T == 0)
+        stripe = max(1, min(1024, STRIPE // len(right)))
+        for s in range(0, len(left), stripe):
+            part = left[s : s + stripe]
+            near = (v[part] @ v[right].T >= self.least) & (x[s : s + stripe] @ y.T == 0)
             if own:
                 near[np.arange(len(part)), s + np.arange(len(part))] = False
             links[part] += near @ n[right]
@@ -140,7 +143,7 @@ class _Bucket:
 
 
 def near_vectors(
-    vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", least: float = 0.9, chunk: int = 4096,
+    vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", least: float = 0.9, chunk: int = 1024,
     tables: int = TABLES, axes: int = AXES, probes: int = PROBES,
 ) -> DataFrame:
     """Rows ``id, n_links, component_id``: how many other rows have a cosine of ``least`` or more, and the smallest id

@@ -187,10 +187,12 @@ def in_groups(batches: Iterator[pa.RecordBatch], key: str, least: int) -> Iterat
 
 def chunked(rows: DataFrame, key: list[str], member: str, chunk: int) -> DataFrame:
     """Rows of keys with two members or more, with ``block``, a hash of key and chunk pair that tasks work on,
-    and ``side`` (0 or 1). A key above ``chunk`` members is dealt out as pairs of its chunks."""
+    and ``side`` (0 or 1). A key above ``chunk`` members is dealt out as pairs of its chunks; chunks grow with the root of
+    its members, since every member is sent once for each chunk."""
     # Landed, so that the join has plain shuffles on both sides, which can be split where a key is hot.
     counts = landed(rows.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1"), "counts")
-    met = rows.join(counts, key).withColumn("parts", F.ceil(F.col("n") / F.lit(chunk)).cast("int"))
+    parts = F.least(F.ceil(F.col("n") / F.lit(chunk)), F.ceil(F.sqrt("n") / 8))
+    met = rows.join(counts, key).withColumn("parts", parts.cast("int"))
     own = F.pmod(F.xxhash64(F.lit(7), F.col(member)), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     dealt = met.withColumn("own", own).withColumn("other", other)
