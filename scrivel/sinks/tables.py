@@ -36,16 +36,26 @@ def ledger_table(ledger: DataFrame, *keys: str) -> DataFrame:
     return ledger.select(*keys, *(F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns))
 
 
-def write_csv(table: DataFrame, path: str) -> None:
-    """UTF-8 CSV with header and byte order mark; values are quoted where they have to be."""
-    first, *others = table.columns
-    marked = table.withColumnRenamed(first, _BOM + first).select(_BOM + first, *others)
+def _sorted(table: DataFrame, order: tuple[str, ...]) -> tuple[DataFrame, list[str]]:
+    """The table in that order, files following each other; and its columns without those that only order it."""
+    columns = [c for c in table.columns if c not in order]
+    return (table.orderBy(*order) if order else table), columns
+
+
+def write_csv(table: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
+    """UTF-8 CSV with header and byte order mark; values are quoted where they have to be.
+
+    Rows come in the order of the columns ``order``, such as the path of the image; these are not written.
+    """
+    rows, (first, *others) = _sorted(table, order)
+    marked = rows.withColumnRenamed(first, _BOM + first).select(_BOM + first, *others)
     marked.write.mode("overwrite").csv(path, header=True, emptyValue="", escape='"')
 
 
-def write_json(table: DataFrame, path: str) -> None:
-    """JSON lines; non-ASCII text stays as it is, null fields are written out."""
-    table.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+def write_json(table: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
+    """JSON lines; non-ASCII text stays as it is, null fields are written out. ``order`` as in :func:`write_csv`."""
+    rows, columns = _sorted(table, order)
+    rows.select(*columns).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def roster_csv_rows(found: DataFrame) -> DataFrame:
