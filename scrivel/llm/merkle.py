@@ -121,15 +121,16 @@ def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text")
     )
     key = ["none", "name", "mark"]
     named = keyed.select("id", F.isnull("id").alias("none"), _name("id").alias("name"), "mark", "text")
-    full = with_fingerprint(named, "text", "fingerprint")
-    d, w = full.alias("d"), wanted.alias("w")
+    d, w = named.alias("d"), wanted.alias("w")
     follows = [F.col(f"d.{k}") == F.col(f"w.next_{k}") for k in key]
-    one = d.join(w, follows).select(
-        *(f"w.{k}" for k in key), F.expr("substring(d.text, 1, w.half)").alias("piece"),
-        F.col("d.id").alias("next_id"), F.col("d.fingerprint").alias("next_fingerprint"),
-    )
+    met = d.join(w, follows).select(*(f"w.{k}" for k in key), "w.half", F.col("d.id").alias("next_id"), "d.text")
+    # Fingerprints are made where the texts arrive, on both sides, which is cheaper than to send them along.
+    one = with_fingerprint(met, "text", "next_fingerprint").select(
+        *key, F.expr("substring(text, 1, half)").alias("piece"), "next_id", "next_fingerprint"
+    )
     # A repeated row is the same text: one of them is enough as what follows.
-    joined = full.join(one.dropDuplicates(key), key).select(
+    own = named.join(one.dropDuplicates(key), key)
+    joined = with_fingerprint(own, "text", "fingerprint").select(
         "id",
         F.length("text").cast("long").alias("n_chars"),
         F.expr("concat(substring(text, 1, length(text) - floor(length(text) / 2)), piece)").alias("edited"),
