@@ -11,16 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Folders of sessions that name none, by application; only single machines have one.
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; where that is unset, and only on a single
-    machine, a temporary one that is then stored there."""
+    """The folder named by ``spark.checkpoint.dir``; where that is unset, and only on a single machine, a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="scrivel-llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder is not None:
+        return folder
+    context = spark.sparkContext
+    if not context.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if context.applicationId not in _OWN:
+        _OWN[context.applicationId] = tempfile.mkdtemp(prefix="scrivel-llm-")
+    return _OWN[context.applicationId]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -130,7 +130,8 @@ def reply_ordered(
     """All rows and columns; ``text`` is without quotations, and there are ``parent`` (turn replied to, or null), ``thread``
     (turn that the replies go back to), ``depth`` (replies up to there) and ``links`` (quoted passages and lines found).
 
-    Rows are sorted by conversation, thread and turn, so every message comes after what it replies to. ``turn`` is a whole number. Null texts are empty. Quotations of nothing said before in the conversation are
+    Rows are sorted by conversation, thread and turn, so every message comes after what it replies to.
+    ``turn`` is a whole number. Null texts are empty. Quotations of nothing said before in the conversation are
     dropped without a link. Several rows of one turn are one message with all their quotations. Rows with a null conversation
     or turn are threads of their own. Columns called like those added are replaced. An empty table gives no rows.
     """
