@@ -120,7 +120,7 @@ class Runs:
 
 
 def _pairs(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """``tag`` tells rows of one id with different texts apart."""
+    """``tag`` tells rows of one id with different texts apart, all but one pair in 32,768 of them."""
     return docs.select(
         F.col(id).alias("id"),
         F.pmod(F.xxhash64(F.col(text)), F.lit(1 << 15)).cast("int").alias("tag"),
@@ -240,9 +240,11 @@ def remove_repeats(
                 words = (text.as_py() or b"").split()
                 if covered.is_valid:
                     code = covered.values.to_numpy()
+                    ends = code // 128 + code % 128 + length - 1
+                    code, ends = code[ends <= len(words)], ends[ends <= len(words)]  # else of a text with this tag
                     turn = np.zeros(len(words) + 1, np.int64)
                     np.add.at(turn, code // 128, 1)
-                    np.add.at(turn, code // 128 + code % 128 + length - 1, -1)
+                    np.add.at(turn, ends, -1)
                     stay = np.flatnonzero(np.cumsum(turn[:-1]) == 0).tolist()
                     out.append((len(words), len(words) - len(stay), b" ".join([words[i] for i in stay]).decode()))
                 else:
