@@ -11,7 +11,7 @@ from scrivel.functions import text as scrub
 from scrivel.functions.charclass import squeeze
 from scrivel.functions.pseudonym import domain_hash, pseudonymize, public_tags
 from scrivel.operators import records
-from scrivel.plans.tables import SALT, stories, table
+from scrivel.plans.tables import SALT, dealt, stories, table
 from scrivel.sources.files import image_manifest
 
 
@@ -19,7 +19,7 @@ def _scrubbed(name: str, key: str, column: str, step):
     """A query applying one step to a whole text column."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        texts = table(spark, sf_dir, name).select(key, column)
+        texts = dealt(table(spark, sf_dir, name).select(key, column))
         return texts.select(key, step(F.col(column)).alias("cleaned"))
 
     return query

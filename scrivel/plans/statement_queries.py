@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scrivel.functions.amounts import find_amounts, find_date, parse_date
 from scrivel.operators import statements
-from scrivel.plans.tables import payments, statement_pages, statement_rows, table
+from scrivel.plans.tables import dealt, payments, statement_pages, statement_rows, table
 from scrivel.sinks.tables import ledger_table
 
 
@@ -20,7 +20,7 @@ def text_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pages = dealt(table(spark, sf_dir, "documents").select("doc_id", "text"))
     found = statements.dated_lines(statements.text_lines(pages))
     return found.select(
         "doc_id",

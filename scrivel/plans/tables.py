@@ -11,12 +11,20 @@ SALT = "demo"
 # Digits of a customer key as a name of four characters.
 NAME_DIGITS = "甲乙丙丁戊己庚辛壬癸"
 CARDS_PER_PAGE = 20
+DEALT_BYTES = 256 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """A table of a few row groups dealt out to all cores. By the plan's estimate, and only up to ``DEALT_BYTES``, so
+    what is moved is bounded whatever the number of cores; larger tables stay as they are read."""
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if estimate <= DEALT_BYTES else df
+
+
 def printed(c: Column) -> Column:
     """Amount with thousands separators and two decimals."""
     return F.format_number(c, 2)
@@ -24,7 +32,7 @@ def printed(c: Column) -> Column:
 
 def stories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in the envelope of a landed story, with empty and missing fields among them."""
-    d = table(spark, sf_dir, "documents")
+    d = dealt(table(spark, sf_dir, "documents"))
     key = F.col("doc_id")
     record = F.struct(
         key.cast("string").alias("objectID"),
@@ -59,7 +67,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                               "o_totalprice", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
-    joined = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    joined = dealt(o).join(c, F.col("o_custkey") == F.col("c_custkey"))
     sign = F.when(F.col("o_orderstatus") == "F", "-").otherwise("+")
     day = F.col("o_orderdate")
     forms = ("yyyy-MM-dd", "yyyy年M月d日", "yyyy/M/d", "yy-MM-dd")
@@ -218,7 +226,7 @@ def text_images(documents: DataFrame, some_bare: bool = True) -> DataFrame:
         return F.transform(words, box)
 
     boxes = F.flatten(F.transform(lines, place))
-    return documents.select("doc_id", F.to_json(_mixed(boxes, F.col("doc_id"))).alias("payload"))
+    return dealt(documents).select("doc_id", F.to_json(_mixed(boxes, F.col("doc_id"))).alias("payload"))
 
 
 def odd_payloads(payments_: DataFrame) -> DataFrame:
