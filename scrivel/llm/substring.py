@@ -6,6 +6,9 @@ Neighbouring windows under one anchor form a run, which carries the match to bot
 whole repeat as a whole. Where runs of one seed differ, their windows are compared place by place, which
 gives the part of the run that a maximal repeat covers. What remains per document is a list of covered ranges.
 
+Words themselves are not compared: windows are equal if their seeds agree in a hash of 64 bits, their seeds' places agree,
+and they agree in another hash of 64 bits, of all their words.
+
 Seeds are counted with partial sums before they are shuffled, and runs meet the counts in joins that adaptive
 execution may split, so a passage that a third of all documents hold has no task to itself.
 """
@@ -13,6 +16,7 @@ execution may split, so a passage that a third of all documents hold has no task
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +29,11 @@ from scrivel.llm.pieces import sliced
 
 SEED_WORDS = 5
 SLICE_BYTES = 2_000_000
-#: Bytes kept of a window's hash. Windows are compared only under equal seeds.
-WINDOW_BYTES = 5
+#: Parts of the seeds whose runs are shuffled one after another. Windows make up most of a run and do not compress, and
+#: most runs leave in the join with the repeated seeds, so less of them lies on disk at once.
+ROUNDS = 2
+#: Bytes of a window's hash.
+WINDOW_BYTES = 8
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _U = np.uint64
@@ -147,16 +154,18 @@ def covered_runs(docs: DataFrame, id: str, text: str, length: int) -> DataFrame:
             if found := runs.of(texts, False):
                 yield pa.RecordBatch.from_arrays([pa.array(found["seed"])], ["seed"])
 
-    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def full(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
         runs = Runs(length)
         for part, texts in _batched(batches):
             if not (found := runs.of(texts, True)):
                 continue
+            mine = found["seed"] % ROUNDS == turn
+            windows = found.pop("windows")[np.repeat(mine, found["many"])]
+            found = {name: values[mine] for name, values in found.items()}
             own = pa.array(found["text"])
-            low = found["windows"].view(np.uint8).reshape(-1, 8)[:, :WINDOW_BYTES].tobytes()
             cuts = np.r_[0, np.cumsum(found["many"])] * WINDOW_BYTES
             blob = pa.Array.from_buffers(
-                pa.binary(), len(found["many"]), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(low)]
+                pa.binary(), len(found["many"]), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(windows.tobytes())]
             )
             spot = found["start"] << 8 | found["place"]
             columns = [pa.array(found["seed"]), part.column("id").take(own)]
@@ -168,13 +177,16 @@ def covered_runs(docs: DataFrame, id: str, text: str, length: int) -> DataFrame:
     # Counts are landed before a join, so that both of its sides are plain shuffles that can be split.
     counts = pairs.mapInArrow(seeds, "seed long").groupBy("seed").agg(F.count("*").alias("n"))
     repeated = landed(counts.filter("n > 1").select("seed"), "seeds")
-    runs = pairs.mapInArrow(full, f"seed long, id {kind}, tag int, spot long, windows binary")
     many = (F.length("windows") / F.lit(WINDOW_BYTES)).cast("int")
     key = F.xxhash64("windows", F.col("spot").bitwiseAND(F.lit(255)))
-    hits = landed(
-        runs.join(repeated, "seed", "left_semi").withColumns({"key": key, "many": many}), "runs"
-    )
-    # Order of occurrences: id, then start, then tag. Runs of a seed and key are equal word by word.
+
+    def met(turn: int) -> DataFrame:
+        runs = pairs.mapInArrow(partial(full, turn=turn), f"seed long, id {kind}, tag int, spot long, windows binary")
+        wanted = repeated.filter(F.pmod("seed", F.lit(ROUNDS)) == turn)
+        return landed(runs.join(wanted, "seed", "left_semi").withColumns({"key": key, "many": many}), "runs")
+
+    hits = reduce(DataFrame.unionByName, [met(turn) for turn in range(ROUNDS)])
+    # Order of occurrences: id, then start, then tag. Runs of a seed and key have equal hashes of all windows.
     spot = F.struct("id", "spot", "tag")
     kinds = landed(
         hits.groupBy("seed", "key").agg(F.min(spot).alias("first"), F.min("windows").alias("windows")), "runs"

@@ -74,3 +74,14 @@ def test_seeds_longer_than_windows_are_refused():
 
 def test_no_documents(no_docs):
     assert remove_repeats(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("a, b", [(2828654, 3424600), (1522873, 1796841)])
+def test_windows_whose_hashes_share_40_bits_are_told_apart(spark, a, b):
+    same = "and the bird sat on hill birds walks slow dark until rain came down from all sides at once"
+    rows = [(1, f"{a} {same}"), (2, f"{b} {same}"), (3, f"{b} {same} x{b}")]
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("id").collect()
+    assert [(r["n_removed"], r["kept"]) for r in got] == [(0, rows[0][1]), (0, rows[1][1]), (20, f"x{b}")]
+    other = [(1, f"{a} {same} end"), (2, f"{b} {same} end")]
+    got = remove_repeats(spark.createDataFrame(other, "doc_id long, text string")).orderBy("id").collect()
+    assert [(r["n_removed"], r["kept"]) for r in got] == [(0, other[0][1]), (20, str(b))]
