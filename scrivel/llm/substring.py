@@ -127,10 +127,10 @@ class Runs:
 
 
 def _pairs(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """``tag`` tells rows of one id with different texts apart, all but one pair in 32,768 of them."""
+    """``tag``, the hash of the whole text, tells rows of one id with different texts apart."""
     return docs.select(
         F.col(id).alias("id"),
-        F.pmod(F.xxhash64(F.col(text)), F.lit(1 << 15)).cast("int").alias("tag"),
+        F.xxhash64(F.col(text)).alias("tag"),
         F.col(text).cast("binary").alias("text"),
     )
 
@@ -181,7 +181,7 @@ def covered_runs(docs: DataFrame, id: str, text: str, length: int) -> DataFrame:
     key = F.xxhash64("windows", F.col("spot").bitwiseAND(F.lit(255)))
 
     def met(turn: int) -> DataFrame:
-        runs = pairs.mapInArrow(partial(full, turn=turn), f"seed long, id {kind}, tag int, spot long, windows binary")
+        runs = pairs.mapInArrow(partial(full, turn=turn), f"seed long, id {kind}, tag long, spot long, windows binary")
         wanted = repeated.filter(F.pmod("seed", F.lit(ROUNDS)) == turn)
         return landed(runs.join(wanted, "seed", "left_semi").withColumns({"key": key, "many": many}), "runs")
 
@@ -253,7 +253,6 @@ def remove_repeats(
                 if covered.is_valid:
                     code = covered.values.to_numpy()
                     ends = code // 128 + code % 128 + length - 1
-                    code, ends = code[ends <= len(words)], ends[ends <= len(words)]  # else of a text with this tag
                     turn = np.zeros(len(words) + 1, np.int64)
                     np.add.at(turn, code // 128, 1)
                     np.add.at(turn, ends, -1)

@@ -85,3 +85,12 @@ def test_windows_whose_hashes_share_40_bits_are_told_apart(spark, a, b):
     other = [(1, f"{a} {same} end"), (2, f"{b} {same} end")]
     got = remove_repeats(spark.createDataFrame(other, "doc_id long, text string")).orderBy("id").collect()
     assert [(r["n_removed"], r["kept"]) for r in got] == [(0, other[0][1]), (20, str(b))]
+
+
+@pytest.mark.parametrize("id", [5, None])
+def test_many_texts_of_one_id_are_judged_apart(spark, id):
+    shared = [f"s{i}" for i in range(25)]
+    rows = [(id, " ".join([f"h{k}x{i}" for i in range(k)] + shared + [f"t{k}x{i}" for i in range(30)])) for k in range(700)]
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(k + 55, 25 if k else 0, " ".join(w for w in t.split() if not k or w[0] != "s")) for k, (_, t) in enumerate(rows)]
+    assert sorted(tuple(r)[1:] for r in got) == sorted(want)
