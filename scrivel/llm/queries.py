@@ -263,7 +263,9 @@ LEFT JOIN parents p ON r.conv_id = p.conv_id AND r.turn = p.turn
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = landed(document_rows(_table(spark, sf_dir, "documents"), "doc_id", "text", "source"), "rows")
     targets, blocks = mix_sources(rows, weights=(1, 2, 3), most=3, shards=16, block_words=256)
-    taken = blocks.groupBy("id", "mark", "nth").agg(F.sum("words").alias("taken"))
+    # The columns asked for only need words; the mix is written as it is dealt, so that the query makes all of it.
+    dealt = blocks.repartition("shard", F.substring("turn", 1, 2)).sortWithinPartitions("shard", "turn")
+    taken = landed(dealt, "mix").groupBy("id", "mark", "nth").agg(F.sum("words").alias("taken"))
     r, t, s = rows.alias("r"), taken.alias("t"), targets.alias("s")
     row = F.col("r.id").eqNullSafe(F.col("t.id")) & (F.col("r.mark") == F.col("t.mark")) & (F.col("r.nth") == F.col("t.nth"))
     return r.join(t, row, "left").join(s, F.col("r.source").eqNullSafe(F.col("s.source"))).select(

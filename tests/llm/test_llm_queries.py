@@ -11,6 +11,7 @@ import pandas as pd
 import pytest
 
 import corpus_pipeline
+from scrivel.llm import queries
 from scrivel.llm.queries import QUERIES
 
 SF_DIR = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))
@@ -55,6 +56,17 @@ def test_query_has_a_row_for_each_document(spark, documents, name):
     assert sorted(got["doc_id"]) == sorted(documents["doc_id"])
 
 
+def test_mixing_deals_its_blocks_to_shards(spark, monkeypatch):
+    tables, landed = {}, queries.landed
+    monkeypatch.setattr(queries, "landed", lambda df, name: tables.setdefault(name, landed(df, name)))
+    got = QUERIES["op8_mixing"][0](spark, str(SF_DIR)).toPandas()
+    mix = tables["mix"].toPandas()
+    assert mix["words"].sum() == got["taken"].sum()
+    assert sorted(mix["shard"].unique()) == list(range(16))
+    assert mix.groupby("shard").size().max() - mix.groupby("shard").size().min() <= 1
+    assert mix["turn"].nunique() == len(mix)
+
+
 def test_quality_on_held_out_labels(spark):
     got = QUERIES["op5_line_quality"][0](spark, str(SF_DIR)).toPandas()
     assert (got["held_out"] == [zlib.crc32(str(i).encode()) % 4 == 2 for i in got["doc_id"]]).all()
