@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from scrivel.llm.bpe import bpe_decode, bpe_encode
 from scrivel.llm.embedding_dedup import near_vectors
+from scrivel.llm.fill_middle import fill_in_middle, restored
+from scrivel.llm.importance import importance_resample
 from scrivel.llm.landing import landed, new_path
 from scrivel.llm.line_quality import fit_line_field, line_quality
 from scrivel.llm.merkle import edited_fingerprints, first_difference, likeness
@@ -17,6 +19,7 @@ from scrivel.llm.secret_scan import KINDS, find_secrets
 from scrivel.llm.simhash import simhash_groups
 from scrivel.llm.substring import remove_repeats
 from scrivel.llm.token_files import read_token_files, write_token_files
+from scrivel.llm.warc import payload_records, read_warc, write_warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -345,6 +348,112 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    formed = fill_in_middle(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return formed.select(
+        F.col("id").alias("doc_id"),
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+OP11_SQL = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS digest FROM documents
+), h AS (
+    SELECT *, ('0x' || substr(digest, 1, 8))::BIGINT AS h1, ('0x' || substr(digest, 9, 8))::BIGINT AS h2,
+           ('0x' || substr(digest, 17, 8))::BIGINT AS h3, ('0x' || substr(digest, 25, 8))::BIGINT AS h4 FROM d
+), f AS (
+    SELECT doc_id, text, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+           CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h
+), p AS (
+    SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1) AS suffix FROM f
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = (_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return importance_resample(docs, target, "doc_id", "text", percent=25, seed=7).select(
+        F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank"
+    )
+
+
+OP12_SQL = r"""
+WITH checks AS (
+    SELECT list(list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]),
+                            lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crc
+    FROM (SELECT unnest(generate_series(0, 255))::BIGINT AS i)
+), words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM (SELECT doc_id, text FROM documents UNION ALL SELECT -1 - item_id, text FROM benchmark)
+), features AS (
+    SELECT doc_id, unnest(list_concat(w, list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]))) AS feature
+    FROM words
+), counted AS (
+    SELECT doc_id, feature, count(*) AS n FROM features GROUP BY ALL
+), buckets AS (
+    SELECT feature, xor(list_reduce(list_concat([4294967295], list_transform(regexp_extract_all(hex(feature), '..'), lambda h: ('0x' || h)::BIGINT)),
+                                    lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+    FROM (SELECT DISTINCT feature FROM features), checks
+), filled AS (
+    SELECT doc_id, bucket, sum(n) AS n FROM counted JOIN buckets USING (feature) GROUP BY ALL
+), sums AS (
+    SELECT bucket, coalesce(sum(n) FILTER (doc_id >= 0), 0) AS s, coalesce(sum(n) FILTER (doc_id < 0), 0) AS t FROM filled GROUP BY bucket
+), gains AS (
+    SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE))) AS gain
+    FROM sums
+), weights AS (
+    SELECT doc_id, sum(n)::BIGINT AS n_features, floor(sum(n * gain) / sum(n))::BIGINT AS weight FROM filled JOIN gains USING (bucket) GROUP BY doc_id
+), scored AS (
+    SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM words LEFT JOIN weights USING (doc_id) WHERE doc_id >= 0
+), ranked AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () * 25 // 100 AS drawn FROM scored WHERE n_words >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= drawn THEN rank END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = payload_records(_table(spark, sf_dir, "pages"), "page_id", "url", "html", least_bytes=0)
+    return read_warc(write_warc(records, new_path(spark, "warc"))).select(
+        F.col("id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+OP13_SQL = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest FROM pages
+), f AS (
+    SELECT *, min(page_id) OVER (PARTITION BY html) AS response,
+           list_transform(generate_series(0, 7), lambda i: ('0x' || substr(digest, 5 * i + 1, 5))::BIGINT) AS groups FROM p
+)
+SELECT page_id, strlen(html) AS payload_bytes,
+       array_to_string(list_transform(generate_series(0, 31), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((groups[i // 4 + 1] >> (15 - 5 * (i % 4))) & 31) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> response THEN response END AS refers_to
+FROM f
+"""
+
+
 QUERIES = {
     "op1_token_files": (op1_token_files, None),
     "op2_embeddings": (op2_embeddings, OP2_SQL),
@@ -356,4 +465,7 @@ QUERIES = {
     "op8_mixing": (op8_mixing, OP8_SQL),
     "op9_byte_bpe": (op9_byte_bpe, None),
     "op10_secret_scan": (op10_secret_scan, None),
+    "op11_fill_middle": (op11_fill_middle, OP11_SQL),
+    "op12_importance": (op12_importance, OP12_SQL),
+    "op13_warc": (op13_warc, OP13_SQL),
 }
