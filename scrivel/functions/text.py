@@ -12,7 +12,7 @@ import html
 import json
 from html.entities import html5
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrivel.functions.charclass import (
@@ -47,8 +47,8 @@ _NEEDS_TABLE = f"&(?!(?:{'|'.join(_COMMON)});)(?=[#A-Za-z])"
 
 # A text as references, single ampersands and what lies between.
 _PIECES = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)|[^&]+|&"
-# Names that are known without a semicolon have no more letters than this, and two at least.
-_BARE = max(len(name) for name in html5 if not name.endswith(";"))
+# Names that are known without a semicolon; a longer name may begin with one of them.
+_BARE = [name for name in html5 if not name.endswith(";")]
 # Numbers that stand for something else than their character: those of an old code page, and noncharacters.
 _ODD_NUMBERS = {
     n: html.unescape(f"&#{n};")
@@ -78,13 +78,21 @@ def _numbered(piece: Column) -> Column:
     return F.when(beyond, "\ufffd").otherwise(F.coalesce(odd, wide))
 
 
+def _by_letter(names: list[str]) -> Column:
+    """A table of names for each first letter, so that a search meets few others."""
+    tables = [{n: html5[n] for n in names if n[0] == chr(c)} for c in range(ord("A"), ord("z") + 1)]
+    return F.from_json(F.lit(json.dumps(tables)), "array<map<string,string>>")
+
+
 def _named(piece: Column) -> Column:
     """Text of a named reference: of the whole name, or else of the longest beginning that is a name."""
-    names, name = _table(html5), F.substr(piece, F.lit(2))
-    whole = F.try_element_at(names, name)
+    name = F.substr(piece, F.lit(2))
+    table = lambda names: F.get(_by_letter(names), F.ascii(name) - ord("A"))
+    whole = F.try_element_at(table(list(html5)), name)
+    lengths = {len(n) for n in _BARE}
     beginnings = [
-        F.when(F.length(name) > n, F.concat(F.try_element_at(names, F.substring(name, 1, n)), F.substr(name, F.lit(n + 1))))
-        for n in range(_BARE, 1, -1)
+        F.when(F.length(name) > n, F.concat(F.try_element_at(table([x for x in _BARE if len(x) == n]), F.substring(name, 1, n)), F.substr(name, F.lit(n + 1))))
+        for n in range(max(lengths), min(lengths) - 1, -1)
     ]
     return F.coalesce(whole, *beginnings, piece)
 
@@ -137,16 +145,16 @@ def squeeze_space(c: Column) -> Column:
     return blank_to_null(squeeze(c))
 
 
-def clean_text(c: Column) -> Column:
-    """The whole chain, in its fixed order; null and blank texts give null."""
-    for step in (
-        decode_entities,
-        strip_tags,
-        mask_email,
-        mask_phone,
-        mask_url,
-        mask_entity,
-        squeeze_space,
-    ):
-        c = step(c)
-    return c
+#: The steps of a whole cleaning, in their fixed order.
+CLEANING = (decode_entities, strip_tags, mask_email, mask_phone, mask_url, mask_entity, squeeze_space)
+
+
+def with_clean_texts(table: DataFrame, *columns: str) -> DataFrame:
+    """The columns cleaned where they stand; null and blank texts give null.
+
+    Every step is a projection of its own, for all columns side by side. A step names its input several times, so steps
+    nested in one expression would grow by that factor each.
+    """
+    for step in CLEANING:
+        table = table.withColumns({c: step(F.col(f"`{c}`")) for c in columns})
+    return table

@@ -5,6 +5,8 @@ Everything but the numbering of an ingest is one projection per record, without
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from scrivel.functions.jsontext import (
     json_string_list,
 )
 from scrivel.functions.pseudonym import domain_hash, pseudonymize, public_tags
-from scrivel.functions.text import clean_text
+from scrivel.functions.text import with_clean_texts
 from scrivel.schemas import STORY
 
 # Fixed values written into every clean record.
@@ -44,9 +46,8 @@ def parse_stories(texts: DataFrame, column: str) -> DataFrame:
 
 def envelope_json() -> Column:
     """The envelope of an ingested story as JSON, around the story as it came."""
-    outer = ("source", "source_url", "collected_at")
     story = F.coalesce("story", F.to_json("record"))
-    return json_object([(name, json_string(F.col(name))) for name in outer] + [("record", story)])
+    return json_object([(name, json_string(F.col(name))) for name in _ENVELOPE] + [("record", story)])
 
 
 def ingest_latest(
@@ -88,51 +89,78 @@ def ingest_latest(
     )
 
 
+#: The fields of a clean record, in their order.
+RECORD = ("object_id", "story_id", "created_at", "updated_at", "author_hash", "title", "story_text",
+          "url_domain_hash", "points", "num_comments", "tags")
+_ENVELOPE = ("source", "source_url", "collected_at")
+
+Field = Callable[[str], Column]
+
+
+def nested(name: str) -> Column:
+    """A field of the clean record in the column ``record``."""
+    return F.col("record")[name]
+
+
+def flat(name: str) -> Column:
+    """A field of the clean record as :func:`clean_fields` gives it."""
+    return F.col(f"record_{name}")
+
+
+def clean_fields(raw: DataFrame, salt: str) -> DataFrame:
+    """As :func:`clean_records`, with the fields of the record as columns ``record_...`` of their own, so that whoever reads some of them
+    has only those made. Columns of these names are replaced."""
+    r = F.col("record")
+    fields = {
+        "object_id": r["objectID"],
+        "story_id": r["story_id"],
+        "created_at": r["created_at"],
+        "updated_at": r["updated_at"],
+        "author_hash": pseudonymize(r["author"], salt),
+        "title": r["title"],
+        "story_text": r["story_text"],
+        "url_domain_hash": domain_hash(r["url"], salt),
+        "points": r["points"],
+        "num_comments": r["num_comments"],
+        "tags": public_tags(r["_tags"]),
+    }
+    made = [f"record_{name}" for name in RECORD]
+    passed = [c for c in raw.columns if c not in (*_ENVELOPE, "record", *made)]
+    table = raw.select(
+        *(F.col(f"`{c}`") for c in passed),
+        *_ENVELOPE,
+        F.lit(LICENSE_NOTE).alias("license_note"),
+        *(fields[name].alias(f"record_{name}") for name in RECORD),
+    )
+    return with_clean_texts(table, "record_title", "record_story_text")
+
+
 def clean_records(raw: DataFrame, salt: str) -> DataFrame:
     """Raw envelopes to clean records; columns beside the envelope pass through.
 
     The salt has no default: who knows it can rebuild the pseudonyms. Record ids stay, so
     a record can still be looked up at its source.
     """
-    r = F.col("record")
-    record = F.struct(
-        r["objectID"].alias("object_id"),
-        r["story_id"].alias("story_id"),
-        r["created_at"].alias("created_at"),
-        r["updated_at"].alias("updated_at"),
-        pseudonymize(r["author"], salt).alias("author_hash"),
-        clean_text(r["title"]).alias("title"),
-        clean_text(r["story_text"]).alias("story_text"),
-        domain_hash(r["url"], salt).alias("url_domain_hash"),
-        r["points"].alias("points"),
-        r["num_comments"].alias("num_comments"),
-        public_tags(r["_tags"]).alias("tags"),
-    )
-    envelope = ("source", "source_url", "collected_at")
-    passed = [c for c in raw.columns if c not in (*envelope, "record")]
-    return raw.select(
-        *passed,
-        *envelope,
-        F.lit(LICENSE_NOTE).alias("license_note"),
-        record.alias("record"),
-    )
+    fields = clean_fields(raw, salt)
+    made = [f"record_{name}" for name in RECORD]
+    record = F.struct(*(flat(name).alias(name) for name in RECORD))
+    return fields.select(*(F.col(f"`{c}`") for c in fields.columns if c not in made), record.alias("record"))
 
 
-def front_matter() -> Column:
+def front_matter(field: Field = nested) -> Column:
     """Ten ``key: scalar`` lines over the columns of a clean record.
 
     ``contains_raw_subject_names`` states that masking was applied; it is not measured.
     """
-    r = F.col("record")
     pairs = [
         ("source", json_string(F.col("source"))),
         ("source_url", json_string(F.col("source_url"))),
         ("collected_at", json_string(F.col("collected_at"))),
-        ("record_id", json_string(r["object_id"])),
-        ("story_id", json_number(r["story_id"])),
-        ("record_created_at", json_string(r["created_at"])),
-        ("anonymized_author", json_string(r["author_hash"])),
-        ("anonymized_url_domain", json_string(r["url_domain_hash"])),
+        ("record_id", json_string(field("object_id"))),
+        ("story_id", json_number(field("story_id"))),
+        ("record_created_at", json_string(field("created_at"))),
+        ("anonymized_author", json_string(field("author_hash"))),
+        ("anonymized_url_domain", json_string(field("url_domain_hash"))),
         ("cleaning_version", F.lit(f'"{CLEANING_VERSION}"')),
         ("contains_raw_subject_names", F.lit("false")),
     ]
@@ -140,23 +168,17 @@ def front_matter() -> Column:
     return F.concat_ws("\n", F.lit("---"), *lines, F.lit("---"))
 
 
-def record_json() -> Column:
+def record_json(field: Field = nested) -> Column:
     """A clean record as indented JSON."""
-    r = F.col("record")
-    strings = ("object_id", "created_at", "updated_at", "author_hash", "title", "story_text",
-               "url_domain_hash")
     numbers = ("story_id", "points", "num_comments")
-    rendered = {name: json_string(r[name]) for name in strings}
-    rendered |= {name: json_number(r[name]) for name in numbers}
-    rendered["tags"] = json_string_list(r["tags"], indent=4)
-    order = ("object_id", "story_id", "created_at", "updated_at", "author_hash", "title",
-             "story_text", "url_domain_hash", "points", "num_comments", "tags")
-    body = json_object([(name, rendered[name]) for name in order], indent=2)
-    outer = ("source", "source_url", "collected_at", "license_note")
+    rendered = {name: (json_number if name in numbers else json_string)(field(name)) for name in RECORD if name != "tags"}
+    rendered["tags"] = json_string_list(field("tags"), indent=4)
+    body = json_object([(name, rendered[name]) for name in RECORD], indent=2)
+    outer = (*_ENVELOPE, "license_note")
     return json_object([(name, json_string(F.col(name))) for name in outer] + [("record", body)])
 
 
-def with_markdown(clean: DataFrame) -> DataFrame:
+def with_markdown(clean: DataFrame, field: Field = nested) -> DataFrame:
     """Add ``markdown``: front matter, blank line, fenced JSON of the record."""
-    fence = F.concat(F.lit("\n\n```json\n"), record_json(), F.lit("\n```\n"))
-    return clean.withColumn("markdown", F.concat(front_matter(), fence))
+    fence = F.concat(F.lit("\n\n```json\n"), record_json(field), F.lit("\n```\n"))
+    return clean.withColumn("markdown", F.concat(front_matter(field), fence))

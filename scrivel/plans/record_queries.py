@@ -51,32 +51,30 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cleaned_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = records.clean_records(stories(spark, sf_dir), SALT)
-    return clean.select(
-        "doc_id",
-        "source",
-        "license_note",
-        "record.object_id",
-        "record.story_id",
-        "record.updated_at",
-        "record.author_hash",
-        "record.title",
-        "record.story_text",
-        "record.url_domain_hash",
-        "record.points",
-        "record.num_comments",
-        F.array_join("record.tags", ",").alias("tags"),
-    )
+    clean = records.clean_fields(stories(spark, sf_dir), SALT)
+    names = ("object_id", "story_id", "updated_at", "author_hash", "title", "story_text", "url_domain_hash", "points", "num_comments")
+    fields = (records.flat(name).alias(name) for name in names)
+    return clean.select("doc_id", "source", "license_note", *fields, F.array_join(records.flat("tags"), ",").alias("tags"))
 
 
 def front_matter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = records.clean_records(stories(spark, sf_dir), SALT)
-    return clean.select("doc_id", records.front_matter().alias("front_matter"))
+    clean = records.clean_fields(stories(spark, sf_dir), SALT)
+    return clean.select("doc_id", records.front_matter(records.flat).alias("front_matter"))
 
 
 def markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = records.clean_records(stories(spark, sf_dir), SALT)
-    return records.with_markdown(clean).select("doc_id", "markdown")
+    clean = records.clean_fields(stories(spark, sf_dir), SALT)
+    return records.with_markdown(clean, records.flat).select("doc_id", "markdown")
+
+
+def _cleaned(name: str, key: str, column: str):
+    """A query that cleans a whole text column."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        texts = dealt(table(spark, sf_dir, name).select(key, F.col(column).alias("cleaned")))
+        return scrub.with_clean_texts(texts, "cleaned")
+
+    return query
 
 
 def latest_stories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,11 +254,11 @@ QUERIES = {
         _step("pages", "page_id", "html", _space),
     ),
     "clean_text": (
-        _scrubbed("documents", "doc_id", "text", scrub.clean_text),
+        _cleaned("documents", "doc_id", "text"),
         f"SELECT doc_id, {_chain('text')} AS cleaned FROM documents",
     ),
     "clean_page_text": (
-        _scrubbed("pages", "page_id", "html", scrub.clean_text),
+        _cleaned("pages", "page_id", "html"),
         f"SELECT page_id, {_chain('html')} AS cleaned FROM pages",
     ),
     "tag_filter": (

@@ -11,7 +11,6 @@ SALT = "demo"
 # Digits of a customer key as a name of four characters.
 NAME_DIGITS = "甲乙丙丁戊己庚辛壬癸"
 CARDS_PER_PAGE = 20
-DEALT_BYTES = 256 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,10 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def dealt(df: DataFrame) -> DataFrame:
-    """A table of a few row groups dealt out to all cores. By the plan's estimate, and only up to ``DEALT_BYTES``, so
-    what is moved is bounded whatever the number of cores; larger tables stay as they are read."""
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if estimate <= DEALT_BYTES else df
+    """A table dealt out to as many tasks as the session's setting ``scrivel.deal`` says, for files of a single row group, which
+    cannot be split; without the setting, as on a cluster, the table as it is read."""
+    parts = df.sparkSession.conf.get("scrivel.deal", None)
+    return df.repartition(int(parts)) if parts else df
 
 
 def printed(c: Column) -> Column:

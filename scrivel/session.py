@@ -16,7 +16,8 @@ def ship_by_value() -> None:
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A session on one machine, for tests and measurements.
 
-    Files are cut into splits small enough for every core to have some.
+    Files are cut into splits small enough for every core to have some, and inputs of the queries, which are files of
+    a single row group, are dealt out to all cores.
     """
     settings = {
         "spark.sql.files.maxPartitionBytes": "4m",
@@ -26,6 +27,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
+        "scrivel.deal": str(shuffle_partitions),
     } | conf
     builder = SparkSession.builder.master(f"local[{cores}]").appName("scrivel")
     for key, value in settings.items():

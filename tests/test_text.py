@@ -1,4 +1,5 @@
 import html
+from html.entities import html5 as entities
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -31,6 +32,17 @@ ENTITIES = {
 }
 
 
+@pytest.fixture
+def clean_all(spark):
+    """Whole chain over texts, in order."""
+
+    def run(texts):
+        frame = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+        return [r["text"] for r in sorted(T.with_clean_texts(frame, "text").collect(), key=lambda r: r["i"])]
+
+    return run
+
+
 def test_phones(evaluate_all):
     assert evaluate_all(T.mask_phone, PHONES) == list(PHONES.values())
 
@@ -54,8 +66,8 @@ def test_entity_references(evaluate_all):
     assert evaluate_all(T.decode_entities, texts) == want
 
 
-def test_empty_texts_are_null(evaluate_all):
-    assert evaluate_all(T.clean_text, [None, "", "   ", "\t　\x1c", "<br>"]) == [None] * 5
+def test_empty_texts_are_null(clean_all):
+    assert clean_all([None, "", "   ", "\t　\x1c", "<br>"]) == [None] * 5
 
 
 def test_space_follows_unicode_rules(evaluate):
@@ -83,8 +95,23 @@ PIECES = st.sampled_from(
 TEXTS = st.lists(st.lists(PIECES, min_size=1, max_size=14).map("".join), min_size=200, max_size=300)
 
 
-def test_whole_chain(evaluate_all):
-    assert evaluate_all(T.clean_text, CHAINS) == list(CHAINS.values())
+def test_whole_chain(clean_all):
+    assert clean_all(CHAINS) == list(CHAINS.values())
+
+
+def test_all_names_of_references(evaluate_all):
+    """Each with a semicolon, without one, and followed by letters."""
+    names = [n.rstrip(";") for n in entities]
+    texts = [f"x&{n}{end}" for n in names for end in (";", "", "q;", " ")] + ["&zz;", "&Q", "&é;", "&1;", "&[;"]
+    assert evaluate_all(T.decode_entities, texts) == [html.unescape(t) for t in texts]
+
+
+def test_each_step_stands_once_in_the_plan(spark):
+    frame = spark.createDataFrame([("a", "b")], "title string, text string")
+    plan = T.with_clean_texts(frame, "title", "text")._jdf.queryExecution().optimizedPlan().toString()
+    for pattern in (T.TAG, T.PHONE, T._PIECES):
+        assert plan.count(pattern) == 2  # one for each column
+    assert "Python" not in plan
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
@@ -95,14 +122,14 @@ def test_references_as_the_standard_library_reads_them(evaluate_all, texts):
 
 @settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(TEXTS)
-def test_what_cleaned_texts_have_in_common(evaluate_all, texts):
-    cleaned = evaluate_all(T.clean_text, texts)
+def test_what_cleaned_texts_have_in_common(clean_all, texts):
+    cleaned = clean_all(texts)
     for text in filter(None, cleaned):
         assert text == " ".join(text.split())
         assert "<b>" not in text
 
 
-@pytest.mark.parametrize("step", [T.strip_tags, T.mask_email, T.mask_phone, T.mask_entity, T.clean_text])
+@pytest.mark.parametrize("step", [T.strip_tags, T.mask_email, T.mask_phone, T.mask_entity, T.decode_entities])
 def test_masks_stay_in_the_jvm(spark, step):
     plan = spark.range(9).select(step(F.col("id").cast("string")))
     assert "Python" not in plan._jdf.queryExecution().optimizedPlan().toString()
