@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from scrivel.functions.amounts import find_amounts, find_date, parse_date
 from scrivel.operators import statements
 from scrivel.plans.tables import dealt, payments, statement_pages, statement_rows, table
-from scrivel.sinks.tables import ledger_table
+from scrivel.sinks.tables import entry_table, ledger_table
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +85,15 @@ def ledger_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger_table(ledger, "doc_id", "page")
 
 
+def ledger_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same entries with a key of their own each, named after the payment's priority; columns are those found."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("page"), "o_orderpriority", "o_orderstatus")
+    ledger = statements.statement_ledger(*_printed(spark, sf_dir)).drop("table_no", "row_no", "line_no")
+    extras = F.when(F.col("page") % 3 > 0, F.create_map("o_orderpriority", "o_orderstatus")).alias("extras")
+    entries = ledger.join(orders, "page").select(*ledger.columns, extras)
+    return entry_table(entries, ("doc_id", "page"), ("doc_id", "page"))
+
+
 # --- the same results in SQL ---
 
 _PAID = """
@@ -131,6 +140,8 @@ SELECT doc_id, page, "日期", "方向", "金额", NULL, "余额", NULL, "对方
 FROM ({_TEXT}) WHERE doc_id % 4 >= 2
 """
 
+_PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
 _AMOUNT = r"[+-]?[0-9]{1,3}(?:,[0-9]{3})*(?:\.[0-9]{2})"
 _LONG = r"[0-9]{4}[-/年][0-9]{1,2}[-/月][0-9]{1,2}日?"
 _SHORT = r"[0-9]{2}[-/][0-9]{1,2}[-/][0-9]{1,2}"
@@ -193,4 +204,13 @@ QUERIES = {
         FROM ({_BOTH})
         """,
     ),
+    "ledger_union": (
+        ledger_union,
+        f"""
+        SELECT doc_id, page, "日期", "方向", "金额", coalesce("对方", '') AS "对方", "余额",
+               coalesce("摘要", '') AS "摘要", coalesce("对方/摘要", '') AS "对方/摘要",
+               {", ".join(f"CASE WHEN page % 3 > 0 AND o_orderpriority = '{p}' THEN o_orderstatus ELSE '' END AS {chr(34)}{p}{chr(34)}" for p in _PRIORITIES)}
+        FROM ({_BOTH}) JOIN orders ON o_orderkey = page
+        """,
+    ),
 }

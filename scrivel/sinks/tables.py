@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,20 +38,66 @@ def ledger_table(ledger: DataFrame, *keys: str) -> DataFrame:
     return ledger.select(*keys, *(F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns))
 
 
+def found_names(entries: DataFrame, order: tuple[str, ...], columns: list[str], extras: str, most: int) -> list[str]:
+    """Columns with a value and keys of ``extras``, in the order in which the entries, in ``order``, show them first.
+
+    Tasks keep one place for each name; a table of more than ``most`` names is refused.
+    """
+    given = F.array_compact(F.array(*(F.when(F.col(f"`{c}`").isNotNull(), F.lit(c)) for c in columns)))
+    keys = F.concat(given, F.coalesce(F.map_keys(F.col(f"`{extras}`")), F.array().cast("array<string>")))
+    seen = entries.select(*(F.col(f"`{c}`") for c in order), F.posexplode(keys).alias("__at", "__name"))
+    places = seen.groupBy("__name").agg(F.min(F.struct(*order, "__at")).alias("__place"))
+    names = [r["__name"] for r in places.orderBy("__place").limit(most + 1).collect()]
+    if len(names) > most:
+        raise ValueError(f"more than {most} columns")
+    return names
+
+
+def entry_table(
+    entries: DataFrame, order: tuple[str, ...], keys: tuple[str, ...] = (), extras: str = "extras", most: int = 1000
+) -> DataFrame:
+    """A table with a column for every key that any entry has: the priority ones first, the others as they are seen first in ``order``,
+    '' for what is missing.
+
+    An entry has the columns that are not null, and what its map ``extras`` holds; a column goes before a map's value of its
+    name. ``keys`` are put in front as they are, ``order`` is left out unless it is among them. Finding the names takes a
+    job over the entries, so the columns are those of the entries at that time. Without entries there are no columns beside ``keys``.
+    """
+    columns = [c for c in entries.columns if c not in (*order, *keys, extras)]
+    names = found_names(entries, order, columns, extras, most)
+    if clash := set(names) & set(keys):
+        raise ValueError(f"entries have keys named as columns: {sorted(clash)}")
+    ranked = [c for c in LEDGER_COLUMNS[:-1] if c in names]
+    ranked += [c for c in names if c not in ranked]
+    extra = lambda name: F.try_element_at(F.col(f"`{extras}`"), F.lit(name))
+    value = lambda name: F.coalesce(*([F.col(f"`{name}`")] if name in columns else []), extra(name), F.lit(""))
+    return entries.select(*(F.col(f"`{c}`") for c in keys), *(value(name).alias(name) for name in ranked))
+
+
 def _sorted(table: DataFrame, order: tuple[str, ...]) -> tuple[DataFrame, list[str]]:
     """The table in that order, files following each other; and its columns without those that only order it."""
     columns = [c for c in table.columns if c not in order]
     return (table.orderBy(*order) if order else table), columns
 
 
+def csv_lines(table: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
+    """The lines of a CSV file as ``value``, in partitions that follow each other; the first one is the header with the byte order mark."""
+    options = {"escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    rows, columns = _sorted(table, order)
+    spark = table.sparkSession
+    names = spark.range(1, numPartitions=1).select(*(F.lit(c).alias(f"c{i}") for i, c in enumerate(columns)))
+    header = names.select(F.concat(F.lit(_BOM), F.to_csv(F.struct("*"), options)).alias("value"))
+    line = F.to_csv(F.struct(*(F.col(f"`{c}`") for c in columns)), options)
+    return header.unionAll(rows.select(line.alias("value")))
+
+
 def write_csv(table: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
-    """UTF-8 CSV with header and byte order mark; values are quoted where they have to be.
+    """UTF-8 CSV, one file in parts: joined in order of their names they have one byte order mark and one header.
 
-    Rows come in the order of the columns ``order``, such as the path of the image; these are not written.
+    Values are quoted where they have to be. Rows come in the order of the columns ``order``, such as the path of the image; these are not
+    written. The parts are there once Spark has committed all of them.
     """
-    rows, (first, *others) = _sorted(table, order)
-    marked = rows.withColumnRenamed(first, _BOM + first).select(_BOM + first, *others)
-    marked.write.mode("overwrite").csv(path, header=True, emptyValue="", escape='"')
+    csv_lines(table, order).write.mode("overwrite").text(path)
 
 
 def write_json(table: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
@@ -66,33 +114,40 @@ def roster_csv_rows(found: DataFrame) -> DataFrame:
     )
 
 
-def markdown_line(n: Column, name: Column, note: Column) -> Column:
-    return F.concat_ws(" ", F.lit("|"), n.cast("string"), F.lit("|"), name, F.lit("|"), note,
-                       F.lit("|"))
+# The heading of a roster's text, with places for section, cohort, time and number of cards.
+ROSTER_HEADING = """# {season} - {cohort}
+
+> 抓取时间: {taken_at}
+> 总人数: {n_cards}人
+
+## 学员名单
+
+| 序号 | 姓名 | 备注 |
+|------|------|------|
+"""
+
+# Fixed value: a row of its table.
+ROSTER_ROW = "| {n} | {name} | {note} |"
 
 
-# The headings of a roster's text.
-_TAKEN_AT, _HEADS, _UNIT, _LIST = "抓取时间", "总人数", "人", "学员名单"
+def _filled(template: str, **values: Column) -> Column:
+    """The template with its places taken by values, which are not looked into."""
+    pieces = re.split(r"\{(\w+)\}", template)
+    return F.concat(*(values[p] if i % 2 else F.lit(p) for i, p in enumerate(pieces)))
+
+
+def markdown_line(n: Column, name: Column, note: Column) -> Column:
+    return _filled(ROSTER_ROW, n=n.cast("string"), name=name, note=note)
 
 
 def roster_markdown(found: DataFrame, taken_at: Column | None = None) -> DataFrame:
     """Add ``markdown``: title, time, head count and a numbered table, one text per section."""
-    now = F.date_format(F.current_timestamp() if taken_at is None else taken_at,
-                        "yyyy-MM-dd HH:mm:ss")
-    line = lambda c, i: F.concat(
-        markdown_line(
-            i + 1, c["name"], F.when(c["note"] != "", c["note"]).otherwise(F.lit("-"))
-        ),
-        F.lit("\n"),
-    )
-    head = F.concat(
-        F.lit("# "), "season", F.lit(" - "), "cohort",
-        F.lit(f"\n\n> {_TAKEN_AT}: "), now,
-        F.lit(f"\n> {_HEADS}: "), F.col("n_cards").cast("string"), F.lit(f"{_UNIT}\n\n## {_LIST}\n\n"),
-        F.lit(f"| {' | '.join(ROSTER_COLUMNS)} |\n|------|------|------|\n"),
-    )
-    lines = F.array_join(F.transform("cards", line), "")
-    return found.withColumn("markdown", F.concat(head, lines))
+    now = F.date_format(F.current_timestamp() if taken_at is None else taken_at, "yyyy-MM-dd HH:mm:ss")
+    note = lambda c: F.when(c["note"] != "", c["note"]).otherwise(F.lit("-"))
+    line = lambda c, i: F.concat(markdown_line(i + 1, c["name"], note(c)), F.lit("\n"))
+    n_cards = F.col("n_cards").cast("string")
+    head = _filled(ROSTER_HEADING, season=F.col("season"), cohort=F.col("cohort"), taken_at=now, n_cards=n_cards)
+    return found.withColumn("markdown", F.concat(head, F.array_join(F.transform("cards", line), "")))
 
 
 def roster_json(found: DataFrame, taken_at: Column | None = None) -> DataFrame:

@@ -1,3 +1,6 @@
+import csv
+import datetime
+import io
 import json
 
 from pyspark.sql import functions as F
@@ -60,6 +63,47 @@ def test_pages_are_parsed_once(spark):
     assert plan.count("parse(") == 1
 
 
+def _joined(folder):
+    return b"".join(p.read_bytes() for p in sorted(folder.glob("part-*")))
+
+
+def test_parts_of_a_csv_file_join_to_one(spark, tmp_path):
+    """Byte by byte what a program that writes one file writes, with quotes where values need them."""
+    rows = [(i, f"n{i}", [None, "", "x", "a,b", 'say "hi"', " spaced ", "two\nlines", "é漢"][i % 8]) for i in range(500)]
+    table = spark.createDataFrame(rows, "`序号` long, `姓,名` string, `备注` string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_csv(table.repartition(7).withColumn("at", -F.col("序号")), str(tmp_path / "csv"), ("at",))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "csv").glob("part-*"))) > 2
+    out = io.StringIO(newline="")
+    writer = csv.writer(out, lineterminator="\n")
+    writer.writerow(["序号", "姓,名", "备注"])
+    writer.writerows([i, n, v or ""] for i, n, v in reversed(rows))
+    assert _joined(tmp_path / "csv") == out.getvalue().encode("utf-8-sig")
+
+
+def test_a_table_without_rows_is_its_header(spark, tmp_path):
+    write_csv(spark.createDataFrame([], "a string, b string"), str(tmp_path / "csv"))
+    assert _joined(tmp_path / "csv") == "a,b\n".encode("utf-8-sig")
+
+
+def test_time_of_extraction_is_the_present_by_default(spark):
+    found = sections(_pages(spark, PAGE))
+    before = datetime.datetime.now().replace(microsecond=0)
+    rendered = roster_markdown(found).first()["markdown"]
+    told = datetime.datetime.strptime(rendered.split("抓取时间: ")[1][:19], "%Y-%m-%d %H:%M:%S")
+    scraped = datetime.datetime.strptime(roster_json(found).first()["scraped_at"], "%Y-%m-%dT%H:%M:%S.%f")
+    for time in (told, scraped):
+        assert abs((time - before).total_seconds()) % 3600 < 120  # in whatever zone the session is
+
+
+def test_places_in_values_are_not_filled(spark):
+    found = sections(_pages(spark, PAGE)).withColumn("season", F.lit("{cohort} {n_cards}"))
+    assert roster_markdown(found).first()["markdown"].startswith("# {cohort} {n_cards} - Cohort & x\n")
+
+
 def test_exports(spark, tmp_path):
     found = sections(_pages(spark, PAGE))
     when = F.lit("2024-01-02 03:04:05").cast("timestamp")
@@ -68,11 +112,8 @@ def test_exports(spark, tmp_path):
         "| 序号 | 姓名 | 备注 |\n|------|------|------|\n| 1 | 甲乙 | a,b < |\n| 2 | Bo | - |\n"
         "| 3 |  | - |\n"
     )
-    write_csv(roster_csv_rows(found).coalesce(1), str(tmp_path / "csv"))
-    (part,) = (tmp_path / "csv").glob("part-*")
-    assert part.read_bytes().decode("utf-8") == (
-        "﻿序号,姓名,备注\n1,甲乙,\"a,b <\"\n2,Bo,\n3,,\n"
-    )
+    write_csv(roster_csv_rows(found), str(tmp_path / "csv"))
+    assert _joined(tmp_path / "csv") == "﻿序号,姓名,备注\n1,甲乙,\"a,b <\"\n2,Bo,\n3,,\n".encode()
     write_json(roster_json(found, when), str(tmp_path / "json"))
     (part,) = (p for p in (tmp_path / "json").glob("part-*") if p.stat().st_size)
     got = json.loads(part.read_text(encoding="utf-8"))

@@ -1,9 +1,12 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from scrivel.functions.amounts import find_amounts, find_date, parse_date, residual_text
 from scrivel.operators import statements as S
 from scrivel.operators.skew import running, skew_join
-from scrivel.sinks.tables import ledger_table
+from scrivel.sinks.tables import entry_table, ledger_table
 
 ROWS = "doc_id long, page int, table_no int, row_no int, cells array<string>"
 HEAD = ["交易日期", "借方金额", "贷方金额", "账户余额", "对方户名"]
@@ -112,6 +115,40 @@ def test_documents_fall_back_to_text(spark):
     assert table.columns == ["doc_id", "page", "日期", "方向", "金额", "对方", "余额", "摘要", "对方/摘要"]
 
 
+def test_columns_are_those_that_entries_have(spark):
+    """Against the rule spelled out: names as entries show them first, priority ones in front."""
+    rng = random.Random(8)
+    names = ["余额", "日期", "金额", "原始数据", "Zins", "备 注", "a`b", "key.dot"]
+    fixed = ["日期", "方向", "金额", "余额", "原始数据"]
+    for _ in range(3):
+        entries = []
+        for i in range(60):
+            some = rng.sample(names, rng.randint(0, 3))
+            entries.append((i, {n: f"v{i}{n}" for n in some}, rng.choice([None, f"d{i}"])))
+        rows = [(i, day, None, None, None, None, list(extras) or None, list(extras.values()) or None) for i, extras, day in entries]
+        schema = "at long, " + ", ".join(f"`{c}` string" for c in fixed) + ", k array<string>, v array<string>"
+        given = spark.createDataFrame(rows, schema).repartition(5).withColumn("extras", F.map_from_arrays("k", "v")).drop("k", "v")
+        table = entry_table(given, ("at",), ("at",))
+        plain = [({"日期": day} if day else {}) for _, _, day in entries]
+        plain = [{**p, **{k: v for k, v in extras.items() if k not in p}} for p, (_, extras, _) in zip(plain, entries, strict=True)]
+        seen = list(dict.fromkeys(k for p in plain for k in p))
+        first = [c for c in ("日期", "方向", "金额", "对方", "余额", "摘要", "对方/摘要") if c in seen]
+        assert table.columns == ["at", *first, *(c for c in seen if c not in first)]
+        got = {r[0]: tuple(r)[1:] for r in table.collect()}
+        assert got == {i: tuple(p.get(c, "") for c in table.columns[1:]) for i, p in enumerate(plain)}
+
+
+def test_entries_without_keys_and_names_of_key_columns(spark):
+    none = spark.createDataFrame([], "at long, extras map<string,string>")
+    assert entry_table(none, ("at",), ("at",)).columns == ["at"]
+    odd = spark.createDataFrame([(1, {"at": "x"})], none.schema)
+    with pytest.raises(ValueError, match="at"):
+        entry_table(odd, ("at",), ("at",))
+    assert entry_table(odd, ("at",)).columns == ["at"]
+    with pytest.raises(ValueError, match="more than 1"):
+        entry_table(spark.createDataFrame([(1, {"a": "", "b": ""})], none.schema), ("at",), most=1)
+
+
 def test_rows_before_the_header_do_not_fit_it(spark):
     """The widest rows are the title and the header itself; only what follows counts."""
     wide = ["x"] * 9
