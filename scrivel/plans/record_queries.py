@@ -12,7 +12,9 @@ from scrivel.functions.charclass import squeeze
 from scrivel.functions.pseudonym import domain_hash, pseudonymize, public_tags
 from scrivel.operators import records
 from scrivel.plans.tables import SALT, dealt, stories, table
-from scrivel.sources.files import image_manifest
+from scrivel.session import shared_folder
+from scrivel.sinks.records import write_record_files
+from scrivel.sources.files import image_manifest, read_json_documents
 
 
 def _scrubbed(name: str, key: str, column: str, step):
@@ -67,6 +69,20 @@ def markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.with_markdown(clean, records.flat).select("doc_id", "markdown")
 
 
+def record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From file to file: stories landed as a JSON file each, read, cleaned, rendered, written as a file each, and these read."""
+    raw, clean = shared_folder(spark, "raw"), shared_folder(spark, "clean")
+    landed = stories(spark, sf_dir).select(
+        F.col("doc_id").cast("string").alias("stem"),
+        F.to_json(F.struct("source", "source_url", "collected_at", "record")).alias("json"),
+    )
+    write_record_files(landed, raw, ".json", "json")
+    write_record_files(records.with_markdown(records.clean_records(read_json_documents(spark, raw), SALT)), clean)
+    files = spark.read.text(clean, wholetext=True, pathGlobFilter="*.md")
+    stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.md$", 1)
+    return files.select(stem.alias("stem"), F.col("value").alias("markdown"))
+
+
 def _cleaned(name: str, key: str, column: str):
     """A query that cleans a whole text column."""
 
@@ -275,6 +291,11 @@ QUERIES = {
         markdown,
         f"SELECT doc_id, {_FRONT} || chr(10) || chr(10) || {_BODY} AS markdown FROM ({_STORIES})",
     ),
+    "record_files": (
+        record_files,
+        "SELECT CAST(doc_id AS VARCHAR) AS stem, "
+        f"{_FRONT} || chr(10) || chr(10) || {_BODY} AS markdown FROM ({_STORIES})",
+    ),
     "raw_ingest": (
         latest_stories,
         """

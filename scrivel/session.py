@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
@@ -13,6 +16,16 @@ def ship_by_value() -> None:
     cloudpickle.register_pickle_by_value(scrivel)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors see: below ``spark.checkpoint.dir``, or a temporary one on a single machine without it."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        root = tempfile.mkdtemp(prefix="scrivel-")
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A session on one machine, for tests and measurements.
 
