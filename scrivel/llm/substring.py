@@ -1,26 +1,26 @@
 """Exact removal of repeated word sequences by seed and extend.
 
 Every window of ``length`` words is filed under its anchor: the ``seed`` words in it with the smallest hash (winnowing).
-Equal windows have equal anchors at equal places, so anchors that occur once cannot hold a repeat and leave early.
-Neighbouring windows under one anchor form a run, which carries the match to both sides of the seed. Runs that are equal as a
-whole repeat as a whole. Where runs of one seed differ, their windows are compared place by place, which
-gives the part of the run that a maximal repeat covers. What remains per document is a list of covered ranges.
+Equal windows have equal anchors at equal places, so anchors that occur once cannot hold a repeat and leave early. Neighbouring windows
+under one anchor form a run. Documents fetch the words of the runs that are left, and from there on words are compared, not hashes:
+runs of equal words around an anchor at the same place match as a whole; where runs of one anchor differ, each is joined to the runs that
+hold one of its windows first, and the match is extended from the anchor to both sides, word by word, to the
+maximal repeat. What remains per document is a list of covered ranges.
 
-Words themselves are not compared: windows are equal if their seeds agree in a hash of 64 bits, their seeds' places agree,
-and they agree in another hash of 64 bits, of all their words.
+A hash decides nothing: two anchors of one hash are a larger group, and windows find the run that holds them first by a
+cryptographic digest of their words.
 
-Seeds are counted with partial sums before they are shuffled, and runs meet the counts in joins that adaptive
+Anchors are counted with partial sums before they are shuffled, and runs meet the counts in joins that adaptive
 execution may split, so a passage that a third of all documents hold has no task to itself.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,11 +29,6 @@ from scrivel.llm.pieces import sliced
 
 SEED_WORDS = 5
 SLICE_BYTES = 2_000_000
-#: Parts of the seeds whose runs are shuffled one after another. Windows make up most of a run and do not compress, and
-#: most runs leave in the join with the repeated seeds, so less of them lies on disk at once.
-ROUNDS = 2
-#: Bytes of a window's hash.
-WINDOW_BYTES = 8
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _U = np.uint64
@@ -89,9 +84,9 @@ class Runs:
         self.length, self.seed = length, seed
         self.bytes, self.words = _Powers(_BASE), _Powers(_WORD_BASE)
 
-    def of(self, texts: list[bytes], with_windows: bool) -> dict[str, np.ndarray]:
-        """``text`` (its number), ``start`` (first window), ``many`` (windows), ``place`` (of the seed in the first window),
-        ``seed`` and, if asked for, ``windows`` (hashes, end to end)."""
+    def of(self, texts: list[bytes]) -> dict[str, np.ndarray]:
+        """``text`` (its number), ``start`` (first window), ``many`` (windows), ``place`` (of the seed in the first window) and
+        ``seed``."""
         data, starts, ends, owner = _joined(texts)
         n, seeds = len(starts), self.length - self.seed + 1
         if n < self.length:
@@ -114,16 +109,13 @@ class Runs:
         many = np.diff(np.r_[opens, len(whole)])
         first = whole[opens]
         text_first = np.searchsorted(owner, np.arange(len(texts)))
-        runs = {
+        return {
             "text": owner[first],
             "start": first - text_first[owner[first]],
             "many": many,
             "place": anchor[opens] - first,
             "seed": seed_hash[anchor[opens]].view(np.int64),
         }
-        if with_windows:
-            runs["windows"] = _mixed(self.words.of(sums, whole, whole + self.length) + _U(17))
-        return runs
 
 
 def _pairs(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -144,88 +136,142 @@ def _batched(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch
             yield part, [t or b"" for t in part.column("text").to_pylist()]
 
 
-def covered_runs(docs: DataFrame, id: str, text: str, length: int) -> DataFrame:
-    """Rows ``id, tag, start, many``: windows from ``start`` on whose words also start earlier."""
+#: A run's place in one number: its first window, the seed's place in that, and how many windows it has.
+_START, _BYTE = 16, 0xFF
+
+
+def _start(spot: Column) -> Column:
+    return F.shiftright(spot, _START)
+
+
+def _place(spot: Column) -> Column:
+    return F.shiftright(spot, 8).bitwiseAND(F.lit(_BYTE)).cast("int")
+
+
+def _many(spot: Column) -> Column:
+    return spot.bitwiseAND(F.lit(_BYTE)).cast("int")
+
+
+def _row_key(a: str, b: str) -> Column:
+    """Equality of id and text of the tables under these names."""
+    return F.col(f"{a}.id").eqNullSafe(F.col(f"{b}.id")) & (F.col(f"{a}.tag") == F.col(f"{b}.tag"))
+
+
+def repeated_runs(docs: DataFrame, id: str, text: str, length: int) -> DataFrame:
+    """Rows ``seed, id, tag, spot, words`` of the runs whose anchor occurs more than once."""
     pairs = _pairs(docs, id, text)
+    kind = docs.schema[id].dataType.simpleString()
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = Runs(length)
         for _, texts in _batched(batches):
-            if found := runs.of(texts, False):
+            if found := runs.of(texts):
                 yield pa.RecordBatch.from_arrays([pa.array(found["seed"])], ["seed"])
 
-    def full(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
+    def spots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = Runs(length)
         for part, texts in _batched(batches):
-            if not (found := runs.of(texts, True)):
-                continue
-            mine = found["seed"] % ROUNDS == turn
-            windows = found.pop("windows")[np.repeat(mine, found["many"])]
-            found = {name: values[mine] for name, values in found.items()}
-            own = pa.array(found["text"])
-            cuts = np.r_[0, np.cumsum(found["many"])] * WINDOW_BYTES
-            blob = pa.Array.from_buffers(
-                pa.binary(), len(found["many"]), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(windows.tobytes())]
-            )
-            spot = found["start"] << 8 | found["place"]
-            columns = [pa.array(found["seed"]), part.column("id").take(own)]
-            columns += [part.column("tag").take(own), pa.array(spot), blob]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    names = ["seed", "id", "tag", "spot", "windows"]
-    kind = docs.schema[id].dataType.simpleString()
+            if found := runs.of(texts):
+                own = pa.array(found["text"])
+                spot = found["start"] << _START | found["place"] << 8 | found["many"]
+                columns = [pa.array(found["seed"]), part.column("id").take(own), part.column("tag").take(own), pa.array(spot)]
+                yield pa.RecordBatch.from_arrays(columns, ["seed", "id", "tag", "spot"])
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, runs in enumerate(batch.column("runs")):
+                spelled = (batch.column("text")[row].as_py() or b"").split()
+                seed, spot = (runs.values.field(name) for name in ("seed", "spot"))
+                at = spot.to_numpy()
+                ends = (at >> _START) + (at & _BYTE) + length - 1
+                held = [b" ".join(spelled[i:j]) for i, j in zip((at >> _START).tolist(), ends.tolist(), strict=True)]
+                own = pa.array(np.full(len(at), row))
+                columns = [seed, batch.column("id").take(own), batch.column("tag").take(own), spot, pa.array(held).cast(pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["seed", "id", "tag", "spot", "words"])
+
     # Counts are landed before a join, so that both of its sides are plain shuffles that can be split.
     counts = pairs.mapInArrow(seeds, "seed long").groupBy("seed").agg(F.count("*").alias("n"))
     repeated = landed(counts.filter("n > 1").select("seed"), "seeds")
-    many = (F.length("windows") / F.lit(WINDOW_BYTES)).cast("int")
-    key = F.xxhash64("windows", F.col("spot").bitwiseAND(F.lit(255)))
+    places = pairs.mapInArrow(spots, f"seed long, id {kind}, tag long, spot long").join(repeated, "seed", "left_semi")
+    # Rows alike in id and text have the same runs, which count once.
+    lists = landed(places.groupBy("id", "tag").agg(F.collect_set(F.struct("seed", "spot")).alias("runs")), "spots")
+    wanted = pairs.alias("p").join(lists.alias("l"), _row_key("p", "l")).select("p.id", "p.tag", "p.text", "l.runs")
+    return wanted.mapInArrow(words, f"seed long, id {kind}, tag long, spot long, words string")
+
+
+def _common(a: Column, b: Column) -> Column:
+    """How many elements two arrays have in common from their beginnings on."""
+    differs = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), F.lit(False))
+    return F.when(differs > 0, differs - 1).otherwise(F.least(F.size(a), F.size(b))).cast("int")
+
+
+def extended(pairs: DataFrame, length: int) -> DataFrame:
+    """Rows ``id, tag, start, many`` of the maximal repeats of runs (``id, tag, spot, words``) in the runs
+    (``first``) that they are joined to at the seed, as long as a window at least."""
+    own, other = F.split("words", " "), F.split("first.words", " ")
+    staged = pairs.select(
+        "id", "tag", _start(F.col("spot")).alias("start"), _place(F.col("spot")).alias("at"), own.alias("own"),
+        _place(F.col("first.spot")).alias("other_at"), other.alias("other"),
+    )
+    before = lambda words, at: F.reverse(F.slice(words, F.lit(1), F.col(at)))
+    behind = lambda words, at: F.slice(words, F.col(at) + 1, F.size(words))
+    met = staged.select(
+        "id", "tag", "start", "at",
+        _common(before("own", "at"), before("other", "other_at")).alias("left"),
+        _common(behind("own", "at"), behind("other", "other_at")).alias("right"),
+    )
+    many = F.col("left") + F.col("right") - length + 1
+    return met.select("id", "tag", (F.col("start") + F.col("at") - F.col("left")).alias("start"), many.alias("many")).filter("many > 0")
 
-    def met(turn: int) -> DataFrame:
-        runs = pairs.mapInArrow(partial(full, turn=turn), f"seed long, id {kind}, tag long, spot long, windows binary")
-        wanted = repeated.filter(F.pmod("seed", F.lit(ROUNDS)) == turn)
-        return landed(runs.join(wanted, "seed", "left_semi").withColumns({"key": key, "many": many}), "runs")
 
-    hits = reduce(DataFrame.unionByName, [met(turn) for turn in range(ROUNDS)])
-    # Order of occurrences: id, then start, then tag. Runs of a seed and key have equal hashes of all windows.
+def covered_runs(docs: DataFrame, id: str, text: str, length: int) -> DataFrame:
+    """Rows ``id, tag, start, many``: windows from ``start`` on whose words also start earlier."""
+    runs = landed(repeated_runs(docs, id, text, length).withColumn("place", _place(F.col("spot"))), "runs")
+    # Order of occurrences: id, then start, then tag.
     spot = F.struct("id", "spot", "tag")
-    kinds = landed(
-        hits.groupBy("seed", "key").agg(F.min(spot).alias("first"), F.min("windows").alias("windows")), "runs"
-    )
-    start = F.shiftright("spot", 8)
+    kinds = landed(runs.groupBy("seed", "place", "words").agg(F.min(spot).alias("first")), "kinds")
     later = F.struct("id", "spot") > F.struct("first.id", "first.spot")
     whole = (
-        hits.select("seed", "key", "id", "spot", "tag", "many")
-        .join(kinds.select("seed", "key", "first"), ["seed", "key"])
+        runs.join(kinds, ["seed", "place", "words"])
         .filter(later)
-        .select("id", "tag", start.alias("start"), "many")
+        .select("id", "tag", _start(F.col("spot")).alias("start"), _many(F.col("spot")).alias("many"))
     )
     several = kinds.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1")
-    mixed = landed(several.select("seed"), "seeds")
-    nth = F.explode(F.sequence(F.lit(0), many - 1)).alias("nth")
-    parts = (
-        kinds.join(mixed, "seed", "left_semi")
-        .select("seed", "first.*", "windows", nth)
-        .select(
-            "seed",
-            "id",
-            "tag",
-            (start + F.col("nth")).alias("start"),
-            (F.col("spot").bitwiseAND(F.lit(255)) - F.col("nth")).alias("place"),
-            F.expr(f"substring(windows, nth * {WINDOW_BYTES} + 1, {WINDOW_BYTES})").alias("window"),
-        )
-    )
+    mixed = landed(several.select("seed"), "mixed")
+    # The first run of each kind stands for all of them.
+    own = landed(kinds.join(mixed, "seed", "left_semi").select("seed", "first.*", "words"), "own")
+    nth = F.explode(F.sequence(F.lit(0), _many(F.col("spot")) - 1)).alias("nth")
+    window = F.array_join(F.slice(F.split("words", " "), F.col("nth") + 1, F.lit(length)), " ")
+    parts = own.select("*", nth).select(
+        "seed", "id", "tag", "spot",
+        (_place(F.col("spot")) - F.col("nth")).alias("place"),
+        F.unhex(F.substring(F.sha2(window, 256), 1, 32)).alias("window"),
+        (_start(F.col("spot")) + F.col("nth")).alias("start"),
+    )
     earliest = landed(
-        parts.groupBy("seed", "place", "window").agg(
-            F.count("*").alias("n"), F.min(F.struct("id", "start")).alias("first")
-        ).filter("n > 1").drop("n"),
+        parts.groupBy("seed", "place", "window")
+        .agg(F.count("*").alias("n"), F.min(F.struct("id", "start", "tag", "spot")).alias("first"))
+        .filter("n > 1")
+        .drop("n"),
         "windows",
     )
-    single = (
+    met = (
         parts.join(earliest, ["seed", "place", "window"])
-        .filter(F.struct("id", "start") > F.col("first"))
-        .select("id", "tag", "start", F.lit(1).alias("many"))
+        .filter(F.struct("id", "start") > F.struct("first.id", "first.start"))
+        .select("seed", "id", "tag", "spot", F.struct("first.id", "first.tag", "first.spot").alias("first"))
+        .distinct()
+    )
+    same = lambda a, b: _row_key(a, b) & (F.col(f"{a}.spot") == F.col(f"{b}.spot"))
+    seed = lambda a: F.col(f"{a}.seed") == F.col("m.seed")
+    both = (
+        met.alias("m")
+        .join(own.alias("a"), seed("a") & same("a", "m"))
+        .select("m.*", "a.words")
+        .alias("m")
+        .join(own.alias("b"), seed("b") & same("b", "m.first"))
+        .select("m.id", "m.tag", "m.spot", "m.words", F.struct(F.col("m.first.spot"), F.col("b.words")).alias("first"))
     )
-    return whole.unionByName(single)
+    return whole.unionByName(extended(both, length)).distinct()
 
 
 def remove_repeats(

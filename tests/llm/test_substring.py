@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from scrivel.llm.substring import Runs, remove_repeats
+from scrivel.llm.substring import Runs, covered_runs, extended, remove_repeats
 
 
 def plain(rows, length):
@@ -94,3 +94,47 @@ def test_many_texts_of_one_id_are_judged_apart(spark, id):
     got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     want = [(k + 55, 25 if k else 0, " ".join(w for w in t.split() if not k or w[0] != "s")) for k, (_, t) in enumerate(rows)]
     assert sorted(tuple(r)[1:] for r in got) == sorted(want)
+
+
+def test_words_that_collide_under_every_sum_of_powers(spark):
+    """The Thue-Morse word and its complement agree in any sum of byte codes times powers of an odd number modulo 2**64."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    word, other = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    same = " ".join(f"w{i}" for i in range(19))
+    for order in (f"{{}} {same}", f"{same} {{}}", f"w w w w w w w {{}} {same}"):
+        rows = [(1, order.format(word)), (2, order.format(other)), (3, order.format(other))]
+        got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("id").collect()
+        assert [tuple(r) for r in got] == plain(rows, 20)
+
+
+def test_many_equal_rows_after_an_earlier_copy(spark):
+    """Ranges are those of one row, however many there are."""
+    text = " ".join(f"w{i}" for i in range(60))
+    for copies in (1, 2000):
+        docs = spark.createDataFrame([(1, "x " + text)] + [(2, text)] * copies, "doc_id long, text string").repartition(3)
+        ranges = covered_runs(docs, "doc_id", "text", 20)
+        lists = ranges.groupBy("id", "tag").agg(F.collect_list(F.struct("start", "many")).alias("r")).collect()
+        assert len(lists) == 1
+        assert len({tuple(x) for x in lists[0]["r"]}) == len(lists[0]["r"])
+        if copies == 1:
+            one = len(lists[0]["r"])
+        assert len(lists[0]["r"]) == one
+        got = remove_repeats(docs).collect()
+        assert sorted((r["id"], r["n_removed"]) for r in got) == [(1, 0)] + [(2, 60)] * copies
+
+
+def test_repeats_are_extended_to_both_sides(spark):
+    """Anchors at the same words, more or fewer of them alike on either side."""
+    words = [str(i) for i in range(9)]
+    cases = [  # own words, the seed's place, other words, its place, start and windows
+        (words, 4, words, 4, 0, 5),
+        (words, 4, ["x", *words[1:]], 4, 1, 4),
+        (words, 4, words[2:7], 2, 2, 1),
+        (words, 4, [*words[:6], "x"], 4, 0, 2),
+        (words, 0, words[:4], 0, None, None),
+    ]
+    rows = [(i, 0, at, " ".join(own), (other_at << 8, " ".join(other))) for i, (own, at, other, other_at, *_) in enumerate(cases)]
+    pairs = spark.createDataFrame(rows, "id long, tag long, at long, words string, first struct<spot:long,words:string>")
+    got = extended(pairs.withColumn("spot", (F.lit(100) * 65536 + F.col("at") * 256).cast("long")), 5).collect()
+    want = [(i, 0, 100 + start, many) for i, (*_, start, many) in enumerate(cases) if many]
+    assert sorted(tuple(r) for r in got) == want
