@@ -2,13 +2,13 @@
 
 Every window of ``length`` words is filed under its anchor: the ``seed`` words in it with the smallest hash (winnowing).
 Equal windows have equal anchors at equal places, so anchors that occur once cannot hold a repeat and leave early. Neighbouring windows
-under one anchor form a run. Documents fetch the words of the runs that are left, and from there on words are compared, not hashes:
-runs of equal words around an anchor at the same place match as a whole; where runs of one anchor differ, each is joined to the runs that
+under one anchor form a run, which carries the match to both sides. Runs whose words agree from end to end match as a whole.
+Where runs of one anchor differ, documents fetch the words of one run of each kind; each is joined to the runs that
 hold one of its windows first, and the match is extended from the anchor to both sides, word by word, to the
 maximal repeat. What remains per document is a list of covered ranges.
 
-A hash decides nothing: two anchors of one hash are a larger group, and windows find the run that holds them first by a
-cryptographic digest of their words.
+Hashes only sort: two anchors of one hash are a larger group. Words that are said to agree agree in a cryptographic digest of 128 bits
+of all of them, or are compared.
 
 Anchors are counted with partial sums before they are shuffled, and runs meet the counts in joins that adaptive
 execution may split, so a passage that a third of all documents hold has no task to itself.
@@ -17,6 +17,8 @@ execution may split, so a passage that a third of all documents hold has no task
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial, reduce
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,11 @@ from scrivel.llm.pieces import sliced
 
 SEED_WORDS = 5
 SLICE_BYTES = 2_000_000
+#: Parts of the anchors whose runs are shuffled one after another: most runs leave in the join with the repeated
+#: anchors, so less of them lies on disk at once.
+ROUNDS = 2
+#: Bytes of a digest of words.
+DIGEST = 16
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _U = np.uint64
@@ -85,8 +92,8 @@ class Runs:
         self.bytes, self.words = _Powers(_BASE), _Powers(_WORD_BASE)
 
     def of(self, texts: list[bytes]) -> dict[str, np.ndarray]:
-        """``text`` (its number), ``start`` (first window), ``many`` (windows), ``place`` (of the seed in the first window) and
-        ``seed``."""
+        """``text`` (its number), ``start`` (first window), ``many`` (windows), ``place`` (of the seed in the first window), ``seed``,
+        and where in ``data`` the words of the run begin and end (``low`` and ``high``)."""
         data, starts, ends, owner = _joined(texts)
         n, seeds = len(starts), self.length - self.seed + 1
         if n < self.length:
@@ -115,6 +122,9 @@ class Runs:
             "many": many,
             "place": anchor[opens] - first,
             "seed": seed_hash[anchor[opens]].view(np.int64),
+            "low": starts[first],
+            "high": ends[first + many + self.length - 2],
+            "data": data.tobytes(),
         }
 
 
@@ -158,45 +168,63 @@ def _row_key(a: str, b: str) -> Column:
 
 
 def repeated_runs(docs: DataFrame, id: str, text: str, length: int) -> DataFrame:
-    """Rows ``seed, id, tag, spot, words`` of the runs whose anchor occurs more than once."""
+    """Rows ``seed, id, tag, spot, digest`` of the runs whose anchor occurs more than once; ``digest`` is that of all their words."""
     pairs = _pairs(docs, id, text)
     kind = docs.schema[id].dataType.simpleString()
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = Runs(length)
         for _, texts in _batched(batches):
-            if found := runs.of(texts):
+            if found := runs.of([b" ".join(t.split()) for t in texts]):
                 yield pa.RecordBatch.from_arrays([pa.array(found["seed"])], ["seed"])
 
-    def spots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def spots(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
         runs = Runs(length)
         for part, texts in _batched(batches):
-            if found := runs.of(texts):
-                own = pa.array(found["text"])
-                spot = found["start"] << _START | found["place"] << 8 | found["many"]
-                columns = [pa.array(found["seed"]), part.column("id").take(own), part.column("tag").take(own), pa.array(spot)]
-                yield pa.RecordBatch.from_arrays(columns, ["seed", "id", "tag", "spot"])
+            if not (found := runs.of([b" ".join(t.split()) for t in texts])):
+                continue
+            mine = np.flatnonzero(found["seed"] % ROUNDS == turn)
+            found = {name: values if name == "data" else values[mine] for name, values in found.items()}
+            data, cuts = found["data"], zip(found["low"].tolist(), found["high"].tolist(), strict=True)
+            digests = pa.array([sha256(data[a:b]).digest()[:DIGEST] for a, b in cuts], pa.binary())
+            own = pa.array(found["text"])
+            spot = found["start"] << _START | found["place"] << 8 | found["many"]
+            columns = [pa.array(found["seed"]), part.column("id").take(own), part.column("tag").take(own), pa.array(spot), digests]
+            yield pa.RecordBatch.from_arrays(columns, ["seed", "id", "tag", "spot", "digest"])
+
+    # Counts are landed before a join, so that both of its sides are plain shuffles that can be split.
+    counts = pairs.mapInArrow(seeds, "seed long").groupBy("seed").agg(F.count("*").alias("n"))
+    repeated = landed(counts.filter("n > 1").select("seed"), "seeds")
+
+    def met(turn: int) -> DataFrame:
+        runs = pairs.mapInArrow(partial(spots, turn=turn), f"seed long, id {kind}, tag long, spot long, digest binary")
+        wanted = repeated.filter(F.pmod("seed", F.lit(ROUNDS)) == turn)
+        return landed(runs.join(wanted, "seed", "left_semi"), "runs")
+
+    return reduce(DataFrame.unionByName, [met(turn) for turn in range(ROUNDS)])
+
+
+def spelled(docs: DataFrame, runs: DataFrame, id: str, text: str, length: int) -> DataFrame:
+    """The different ``runs`` (``seed, id, tag, spot``) with their ``words``, fetched from the documents."""
+    kind = docs.schema[id].dataType.simpleString()
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, runs in enumerate(batch.column("runs")):
-                spelled = (batch.column("text")[row].as_py() or b"").split()
+                held = (batch.column("text")[row].as_py() or b"").split()
                 seed, spot = (runs.values.field(name) for name in ("seed", "spot"))
                 at = spot.to_numpy()
                 ends = (at >> _START) + (at & _BYTE) + length - 1
-                held = [b" ".join(spelled[i:j]) for i, j in zip((at >> _START).tolist(), ends.tolist(), strict=True)]
+                found = [b" ".join(held[i:j]).decode() for i, j in zip((at >> _START).tolist(), ends.tolist(), strict=True)]
                 own = pa.array(np.full(len(at), row))
-                columns = [seed, batch.column("id").take(own), batch.column("tag").take(own), spot, pa.array(held).cast(pa.string())]
+                columns = [seed, batch.column("id").take(own), batch.column("tag").take(own), spot, pa.array(found, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, ["seed", "id", "tag", "spot", "words"])
 
-    # Counts are landed before a join, so that both of its sides are plain shuffles that can be split.
-    counts = pairs.mapInArrow(seeds, "seed long").groupBy("seed").agg(F.count("*").alias("n"))
-    repeated = landed(counts.filter("n > 1").select("seed"), "seeds")
-    places = pairs.mapInArrow(spots, f"seed long, id {kind}, tag long, spot long").join(repeated, "seed", "left_semi")
-    # Rows alike in id and text have the same runs, which count once.
-    lists = landed(places.groupBy("id", "tag").agg(F.collect_set(F.struct("seed", "spot")).alias("runs")), "spots")
+    pairs = _pairs(docs, id, text)
+    lists = landed(runs.groupBy("id", "tag").agg(F.collect_set(F.struct("seed", "spot")).alias("runs")), "spots")
     wanted = pairs.alias("p").join(lists.alias("l"), _row_key("p", "l")).select("p.id", "p.tag", "p.text", "l.runs")
-    return wanted.mapInArrow(words, f"seed long, id {kind}, tag long, spot long, words string")
+    # Rows alike in id and text spell the same words.
+    return wanted.mapInArrow(words, f"seed long, id {kind}, tag long, spot long, words string").dropDuplicates(["seed", "id", "tag", "spot"])
 
 
 def _common(a: Column, b: Column) -> Column:
@@ -226,26 +254,27 @@ def extended(pairs: DataFrame, length: int) -> DataFrame:
 
 def covered_runs(docs: DataFrame, id: str, text: str, length: int) -> DataFrame:
     """Rows ``id, tag, start, many``: windows from ``start`` on whose words also start earlier."""
-    runs = landed(repeated_runs(docs, id, text, length).withColumn("place", _place(F.col("spot"))), "runs")
+    runs = repeated_runs(docs, id, text, length).withColumn("place", _place(F.col("spot")))
     # Order of occurrences: id, then start, then tag.
     spot = F.struct("id", "spot", "tag")
-    kinds = landed(runs.groupBy("seed", "place", "words").agg(F.min(spot).alias("first")), "kinds")
+    kinds = landed(runs.groupBy("seed", "place", "digest").agg(F.min(spot).alias("first")), "kinds")
     later = F.struct("id", "spot") > F.struct("first.id", "first.spot")
     whole = (
-        runs.join(kinds, ["seed", "place", "words"])
+        runs.join(kinds, ["seed", "place", "digest"])
         .filter(later)
         .select("id", "tag", _start(F.col("spot")).alias("start"), _many(F.col("spot")).alias("many"))
     )
     several = kinds.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1")
     mixed = landed(several.select("seed"), "mixed")
     # The first run of each kind stands for all of them.
-    own = landed(kinds.join(mixed, "seed", "left_semi").select("seed", "first.*", "words"), "own")
+    firsts = kinds.join(mixed, "seed", "left_semi").select("seed", "first.*")
+    own = landed(spelled(docs, firsts, id, text, length), "own")
     nth = F.explode(F.sequence(F.lit(0), _many(F.col("spot")) - 1)).alias("nth")
     window = F.array_join(F.slice(F.split("words", " "), F.col("nth") + 1, F.lit(length)), " ")
     parts = own.select("*", nth).select(
         "seed", "id", "tag", "spot",
         (_place(F.col("spot")) - F.col("nth")).alias("place"),
-        F.unhex(F.substring(F.sha2(window, 256), 1, 32)).alias("window"),
+        F.unhex(F.substring(F.sha2(window, 256), 1, 2 * DIGEST)).alias("window"),
         (_start(F.col("spot")) + F.col("nth")).alias("start"),
     )
     earliest = landed(
