@@ -215,8 +215,8 @@ def write_token_files(
     ``path``, ``n_docs``, ``n_ids``, ``bits``.
 
     ``id`` is a whole number; ``end_id`` closes each document. Null and empty texts are the end id alone. Null
-    ids come first; rows of equal ids lie in order of their texts, repeated rows side by side. An empty table gives
-    no file and an empty manifest. Other columns are not read. Marks of special tokens are only
+    ids come first; rows of equal ids lie in order of a hash of their texts, repeated rows side by side, and both may fill
+    several files. An empty table gives no file and an empty manifest. Other columns are not read. Marks of special tokens are only
     found where the tokenizer's file declares them. ``tokenizer_path`` has to be readable by the workers.
     """
     spark = docs.sparkSession
@@ -250,8 +250,11 @@ def write_token_files(
             row = {"part": [part], "path": [path], "n_docs": [n_docs], "n_ids": [n_ids], "bits": [bits]}
             yield pa.RecordBatch.from_pydict(row)
 
-    pair = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
-    ordered = pair.repartitionByRange("id").sortWithinPartitions("id", "text")
+    content = F.col(text).cast("binary")
+    pair = docs.select(F.col(id).cast("long").alias("id"), content.alias("text"), F.xxhash64(content).alias("mark"))
+    # Rows alike in id and text may go to any file, so the task that read them deals out what is left of a hot id.
+    spread = pair.withColumn("task", F.spark_partition_id())
+    ordered = spread.repartitionByRange("id", "mark", "task").sortWithinPartitions("id", "mark", "text")
     schema = "part long, path string, n_docs long, n_ids long, bits long"
     return landed(ordered.mapInArrow(run, schema), "manifest")
 

@@ -75,7 +75,8 @@ def test_files_hold_all_documents_in_order(spark, odd_docs, odd_rows, tokenizer)
     clashing = odd_docs.withColumn("ids", F.lit(1)).withColumn("id", F.lit("x")).withColumn("part", F.lit(2))
     manifest = write_token_files(clashing, PATH, new_path(spark, "ids"))
     got = sorted(read_token_files(manifest).collect(), key=lambda r: r["start"])
-    want = sorted(odd_rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
+    marks = {r["text"]: r["mark"] for r in odd_docs.select("text", F.xxhash64(F.col("text").cast("binary")).alias("mark")).collect()}
+    want = sorted(odd_rows, key=lambda r: (r[0] is not None, r[0] or 0, marks[r[1]]))
     at = 0
     for row, (name, text, *_) in zip(got, want, strict=True):
         ids = np.frombuffer(row["ids"], "<u4").tolist()
@@ -88,3 +89,22 @@ def test_no_documents(spark, no_docs):
     manifest = write_token_files(no_docs, PATH, new_path(spark, "ids"))
     assert manifest.count() == 0
     assert read_token_files(manifest).collect() == []
+
+
+@pytest.mark.parametrize("id", [7, None])
+@pytest.mark.parametrize("alike", [False, True])
+def test_rows_of_one_id_fill_several_files(spark, tokenizer, id, alike):
+    rows = [(id, "same words" if alike else f"text {i}") for i in range(4000)] + [(8, "after")]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = write_token_files(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), PATH, new_path(spark, "ids"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["n_docs"] for r in manifest.collect()]
+    assert sum(sizes) == 4001
+    assert len(sizes) > 3
+    assert max(sizes) < 2000
+    got = sorted(read_token_files(manifest).collect(), key=lambda r: r["start"])
+    assert [r["id"] for r in got] == [id] * 4000 + [8]
+    want = sorted(tuple(tokenizer.encode(t, add_special_tokens=False).ids) + (1,) for _, t in rows)
+    assert sorted(tuple(np.frombuffer(r["ids"], "<u4").tolist()) for r in got) == want
