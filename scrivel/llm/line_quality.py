@@ -16,15 +16,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scrivel.llm.columns import Batches, add_column, as_bytes
+from scrivel.llm.landing import landed
 from scrivel.llm.pieces import sliced
 
 #: The model is fitted on this many labelled documents at most, those of the smallest hash of their id.
 MAX_TRAINING_DOCS = 4000
+#: Lines that a fit reads at most; 60 numbers each.
+MAX_TRAINING_LINES = 300_000
 #: Chains are cut after so many lines while fitting; scoring passes over whole documents.
 TRAINING_CHAIN = 64
 ROUNDS, STEPS, RIDGE = 3, 100, 1e-3
@@ -238,27 +241,39 @@ def fit(features: np.ndarray, sizes: np.ndarray, counts: np.ndarray, label: np.n
 
 def fit_line_field(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality",
-    most: int = MAX_TRAINING_DOCS,
+    most: int = MAX_TRAINING_DOCS, lines: int = MAX_TRAINING_LINES,
 ) -> LineField:
-    """Fit on at most ``most`` documents that have a label of 0 or 1, those with the smallest hash of the id.
+    """Fit on at most ``most`` documents that have a label of 0 or 1, those with the smallest hash of the id, and on at most
+    ``lines`` of their lines: documents are taken in that order as long as their lines fit, and of a longer one only so many
+    lines are.
 
-    Nulls are passed over; of several labels of one id the smaller counts. The features of the sample, and no text, come to
-    the driver.
+    Nulls are passed over; of several labels of one id the smaller counts, and of several texts that of the smallest
+    hash. The features of the sample, and no text, come to the driver.
     """
     known = labels.filter(F.col(label).isin(0, 1) & F.col(id).isNotNull()).groupBy(F.col(id).alias("__id"))
     sample = known.agg(F.min(label).alias("__label")).orderBy(F.xxhash64("__id"), "__id").limit(most)
     texts = docs.select(F.col(id).alias("__id"), F.col(text).cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["x", "sizes", "label", "n", "place", "name"]
         for batch in batches:
-            for text, mark in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                x, sizes, _ = line_features([text.as_py() or b""])
-                row = {"x": [x.astype("<f4").tobytes()], "sizes": [sizes.astype("<f4").tobytes()], "label": [mark]}
-                yield pa.RecordBatch.from_pydict(row, pa.schema([("x", pa.binary()), ("sizes", pa.binary()), ("label", pa.int32())]))
+            for row in range(len(batch)):
+                x, sizes, _ = line_features([batch.column("text")[row].as_py() or b""])
+                x, sizes = x[:lines].astype("<f4"), sizes[:lines].astype("<f4")
+                held = [pa.array([x.tobytes()], pa.binary()), pa.array([sizes.tobytes()], pa.binary())]
+                held += [batch.column("label").slice(row, 1), pa.array([len(sizes)], pa.int64())]
+                held += [batch.column(name).slice(row, 1) for name in ("place", "name")]
+                yield pa.RecordBatch.from_arrays(held, names)
 
     # The sample is small by its bound, whatever the size of the tables.
-    pairs = texts.join(F.broadcast(sample), "__id").select("text", F.col("__label").cast("int").alias("label"))
-    rows = pairs.mapInArrow(run, "x binary, sizes binary, label int").collect()
+    pairs = texts.join(F.broadcast(sample), "__id")
+    single = pairs.groupBy("__id", "__label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    name = F.col("__id").cast("string").alias("name")
+    given = single.select("text", F.col("__label").cast("int").alias("label"), F.xxhash64("__id").alias("place"), name)
+    found = landed(given.mapInArrow(run, "x binary, sizes binary, label int, n long, place long, name string"), "sample")
+    # A row for each document of the sample.
+    so_far = F.sum("n").over(Window.orderBy("place", "name").rowsBetween(Window.unboundedPreceding, 0))
+    rows = found.withColumn("so_far", so_far).filter(F.col("so_far") <= lines).collect()
     rows.sort(key=lambda r: (bytes(r["x"]), r["label"]))  # the fit must not depend on the order of tasks
     x = [np.frombuffer(r["x"], "<f4").reshape(-1, FEATURES).astype(float) for r in rows]
     sizes = [np.frombuffer(r["sizes"], "<f4").astype(float) for r in rows]

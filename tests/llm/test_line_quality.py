@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from scrivel.llm import line_quality as line_quality_module
 from scrivel.llm.line_quality import FEATURES, fit, fit_line_field, line_features, line_quality, marginals
 
 
@@ -109,3 +110,26 @@ def test_the_sample_is_bounded_and_does_not_depend_on_partitions(spark, labelled
     b = fit_line_field(docs.coalesce(1), labels, most=60)
     assert (a.weights == b.weights).all()
     assert a.offset == b.offset
+
+
+def test_repeated_rows_of_a_sampled_id_count_once(spark):
+    """The fit is that of one row, whatever the number of rows and the lines of the longest text."""
+    rng = random.Random(6)
+    rows = [(i, document(rng, i % 2 == 1)) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    fits = []
+    for extra in ([], [rows[3]] * 300 + [rows[4]] * 300):
+        docs = spark.createDataFrame(rows + extra, "doc_id long, text string").repartition(4)
+        field = fit_line_field(docs, labels)
+        fits.append((field.weights.tolist(), field.same, field.slope))
+    assert fits[0] == fits[1]
+
+
+def test_lines_of_the_sample_are_bounded(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(line_quality_module, "fit", lambda x, sizes, counts, marks: seen.update(n=counts.tolist(), x=len(x)))
+    rows = [(i, "a line\n" * (5000 if i == 2 else 10)) for i in range(30)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    fit_line_field(spark.createDataFrame(rows, "doc_id long, text string"), labels, lines=100)
+    assert seen["x"] == sum(seen["n"]) <= 100
+    assert max(seen["n"]) <= 100
