@@ -22,13 +22,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scrivel.llm.copies import written_out
 from scrivel.llm.landing import landed
 from scrivel.llm.pieces import sliced
 from scrivel.operators.skew import running
 
 SLICE_BYTES = 4_000_000
-#: Copies of one row that a task writes out at once.
-COPIES = 100_000
 _CHUNK = 1024
 _DELIMITER, _END = 0x20, -1
 # ASCII letters in lower case and digits; everything beyond ASCII belongs to words.
@@ -202,16 +201,6 @@ def _noise(id: F.Column, seed: int) -> F.Column:
     return F.floor(-1000 * F.log(-F.log((h + 0.5) / 4294967296.0)))
 
 
-def _written_out(rows: DataFrame, before: str, copies: str) -> DataFrame:
-    """Each row as often as ``copies`` says, with ``nth`` counted on from ``before``; very many copies are written out by several tasks."""
-    step = F.lit(COPIES)
-    blocks = rows.withColumn("__low", F.explode(F.sequence(F.lit(0).cast("long"), F.col(copies) - 1, step)))
-    dealt = blocks.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id", "tag", "__low")
-    last = F.least(F.col("__low") + step, F.col(copies)) - 1
-    each = dealt.withColumn("__i", F.explode(F.sequence("__low", last)))
-    return each.withColumn("nth", F.col(before) + F.col("__i") + 1).drop("__low", "__i", before, copies)
-
-
 def importance_resample(
     docs: DataFrame, target: DataFrame, id: str = "doc_id", text: str = "text", target_text: str = "text",
     most: int = 2, buckets: int = 10_000, least_words: int = 20, percent: int = 25, seed: int = 7,
@@ -242,7 +231,7 @@ def importance_resample(
     before = F.col("higher") + F.coalesce(F.sum("copies").over(order), F.lit(0))
     ranked = fit.join(higher.select("score", "higher"), "score").withColumn("before", before).select(*scored.columns, "before")
     others = scored.filter(F.col("n_words") < least_words).withColumn("before", F.lit(None).cast("long"))
-    written = _written_out(ranked.unionByName(others), "before", "copies")
+    written = written_out(ranked.unionByName(others), ["id", "tag"], "before", "copies")
     rank = F.when(F.col("nth") <= n * percent // 100, F.col("nth"))
     return written.select("id", "tag", "n_words", "n_features", "weight", "score", rank.alias("rank"))
 

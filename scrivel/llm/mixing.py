@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scrivel.llm.copies import one_of_each, written_out
 from scrivel.llm.landing import landed
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -130,14 +131,16 @@ def shard_quotas(counts: DataFrame, shards: int, seed: str) -> DataFrame:
     return grouped.select("source", F.transform("ends", lambda e: e["end"]).alias("ends"))
 
 
-def document_rows(docs: DataFrame, id: str, text: str, source: str) -> DataFrame:
-    """Rows ``id, mark, nth, source, size``: every row by its id, a hash of its text and its number among alike ones."""
-    words = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
-    rows = docs.select(
-        F.col(id).alias("id"), F.xxhash64(F.col(text)).alias("mark"), F.col(source).alias("source"), words.alias("size")
-    )
-    alike = Window.partitionBy("id", "mark").orderBy("source")
-    return rows.withColumn("nth", F.row_number().over(alike))
+def document_rows(docs: DataFrame, id: str, text: str, source: str, mark: Column | None = None) -> DataFrame:
+    """Rows ``id, mark, nth, source, size``: every row by its id, ``mark`` (by default a hash of its text) and its number among alike
+    ones, which are counted before they are numbered."""
+    words = F.regexp_count(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(WORD)).cast("long")
+    mark = F.xxhash64(F.col(f"`{text}`")) if mark is None else mark
+    rows = docs.select(F.col(f"`{id}`").alias("id"), mark.alias("mark"), F.col(f"`{source}`").alias("source"), words.alias("size"))
+    alike = rows.groupBy("id", "mark", "source", "size").agg(F.count("*").alias("copies"))
+    others = Window.partitionBy("id", "mark").orderBy("source", "size").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = alike.withColumn("before", F.coalesce(F.sum("copies").over(others), F.lit(0)))
+    return written_out(numbered, ["id", "mark", "source"], "before", "copies").select("id", "mark", "nth", "source", "size")
 
 
 def mix_sources(
@@ -209,15 +212,13 @@ def mixed_documents(
     docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", shards: int = 16, **how
 ) -> DataFrame:
     """The documents of a mix, whole, each as often as it is taken, dealt out and ordered by shard."""
-    keyed = docs.withColumns({"__mark": F.xxhash64(F.col(text)), "__id": F.col(id)}).withColumn(
-        "__nth", F.row_number().over(Window.partitionBy("__id", "__mark").orderBy(source))
-    )
-    _, taken = mix_sources(landed(document_rows(docs, id, text, source), "rows"), shards=shards, block_words=None, **how)
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    mark = F.xxhash64(*(c.cast("string") for c in names))
+    _, taken = mix_sources(landed(document_rows(docs, id, text, source, mark), "rows"), shards=shards, block_words=None, **how)
+    # Rows alike in every column are one, which is taken as often as all of them.
+    keyed = one_of_each(docs.withColumn("__key", F.struct(F.col(f"`{id}`").alias("id"), mark.alias("mark"))), "__key")
     k, t = keyed.alias("k"), taken.alias("t")
-    same = (
-        F.col("k.__id").eqNullSafe(F.col("t.id")) & (F.col("k.__mark") == F.col("t.mark"))
-        & (F.col("k.__nth") == F.col("t.nth"))
-    )
+    same = F.col("k.__key.id").eqNullSafe(F.col("t.id")) & (F.col("k.__key.mark") == F.col("t.mark"))
     names = [F.col(f"k.`{c}`") for c in docs.columns]
     dealt = k.join(t, same).select(*names, F.col("t.shard").alias("__shard"), F.col("t.turn").alias("__turn"))
     ordered = dealt.repartition("__shard", F.substring("__turn", 1, 2)).sortWithinPartitions("__shard", "__turn")

@@ -19,10 +19,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scrivel.llm.components import connected_components
+from scrivel.llm.copies import one_of_each
 from scrivel.llm.landing import landed
 
 SEED = 42
@@ -264,10 +265,4 @@ def simhash_dedup(
     groups = simhash_groups(keyed, "__mark", text, shingle, radius)
     kept = groups.select(F.col("component_id").alias("__kept")).distinct()
     same = F.col("__mark").eqNullSafe(F.col("__kept"))
-    once = Window.partitionBy("__kept").orderBy(F.lit(0))
-    return (
-        keyed.join(kept, same)
-        .withColumn("__nth", F.row_number().over(once))
-        .filter("__nth = 1")
-        .select(*names)
-    )
+    return one_of_each(keyed, "__mark").join(kept, same).select(*names)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scrivel.llm import importance
+from scrivel.llm import copies, importance
 from scrivel.llm.importance import Checksums, Features, drawn_texts, importance_resample
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -94,7 +94,7 @@ def test_weights_and_ranks(spark, odd_docs, odd_rows):
 
 
 def test_very_many_copies_of_a_row(spark, monkeypatch):
-    monkeypatch.setattr(importance, "COPIES", 7)
+    monkeypatch.setattr(copies, "COPIES", 7)
     text = " ".join(f"w{i}" for i in range(30))
     rows = [(1, text)] * 50 + [(i, f"{text} {i}") for i in range(2, 40)] + [(99, "short")] * 20
     docs = spark.createDataFrame(rows, "doc_id long, text string")

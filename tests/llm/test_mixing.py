@@ -4,6 +4,7 @@ from math import comb
 import pytest
 from pyspark.sql import functions as F
 
+from scrivel.llm import copies
 from scrivel.llm.landing import landed
 from scrivel.llm.mixing import (
     _hypergeometric,
@@ -99,3 +100,24 @@ def test_whole_documents(odd_docs, odd_rows, no_docs):
     given = Counter(odd_rows)
     assert all(n <= 3 * given[row] for row, n in times.items())
     assert mixed_documents(no_docs).collect() == []
+
+
+def test_alike_rows_are_counted_before_they_are_numbered(spark, monkeypatch):
+    monkeypatch.setattr(copies, "COPIES", 7)
+    rows = [(1, "a b c", "x")] * 50 + [(1, "a b c", "y")] * 3 + [(2, "d", "x"), (None, None, None), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = document_rows(docs, "doc_id", "text", "source").collect()
+    assert sorted(r["nth"] for r in got if r["id"] == 1) == list(range(1, 54))
+    assert sorted((r["nth"], r["size"]) for r in got if r["id"] is None) == [(1, 0), (2, 0)]
+    plan = document_rows(docs, "doc_id", "text", "source")._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan
+
+
+def test_alike_documents_are_each_taken(spark):
+    """Rows alike in every column are taken as often as the mix takes all of them; others of their id apart."""
+    rows = [(1, "a b c d", "x", "en")] * 40 + [(1, "a b c d", "x", "de")] + [(i, f"w{i} v", "y", "en") for i in range(2, 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(5)
+    got = [tuple(r) for r in mixed_documents(docs, weights=(1, 1), most=1).collect()]
+    assert max(got.count(r) / rows.count(r) for r in set(rows)) <= 1
+    assert set(got) <= set(rows)
+    assert got.count(rows[0]) > 10

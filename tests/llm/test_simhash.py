@@ -96,3 +96,11 @@ def test_components(spark):
 def test_no_documents(no_docs):
     assert simhash_groups(no_docs).collect() == []
     assert simhash_dedup(no_docs).collect() == []
+
+
+def test_one_of_rows_alike_in_every_column_stays(spark):
+    rows = [(1, "the same few words here", "x")] * 60 + [(1, "the same few words here", "y")] * 2 + [(2, "quite another text stands there now", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    kept = simhash_dedup(docs)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2]
+    assert "row_number" not in kept._jdf.queryExecution().optimizedPlan().toString()
