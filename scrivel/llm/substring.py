@@ -7,8 +7,8 @@ Where runs of one anchor differ, documents fetch the words of one run of each ki
 hold one of its windows first, and the match is extended from the anchor to both sides, word by word, to the
 maximal repeat. What remains per document is a list of covered ranges.
 
-Hashes only sort: two anchors of one hash are a larger group. Words that are said to agree agree in a cryptographic digest of 128 bits
-of all of them, or are compared.
+Hashes only sort: two anchors of one hash are a larger group, and a window whose hash leads to another one is found out by its words. Words
+that are said to agree agree in a cryptographic digest of 128 bits of all of them, or are compared.
 
 Anchors are counted with partial sums before they are shuffled, and runs meet the counts in joins that adaptive
 execution may split, so a passage that a third of all documents hold has no task to itself.
@@ -254,52 +254,45 @@ def extended(pairs: DataFrame, length: int) -> DataFrame:
 
 def covered_runs(docs: DataFrame, id: str, text: str, length: int) -> DataFrame:
     """Rows ``id, tag, start, many``: windows from ``start`` on whose words also start earlier."""
-    runs = repeated_runs(docs, id, text, length).withColumn("place", _place(F.col("spot")))
-    # Order of occurrences: id, then start, then tag.
+    runs = repeated_runs(docs, id, text, length)
+    # Order of occurrences: id, then start, then tag. Equal words have equal anchors at equal places, so a digest is a key.
     spot = F.struct("id", "spot", "tag")
-    kinds = landed(runs.groupBy("seed", "place", "digest").agg(F.min(spot).alias("first")), "kinds")
+    kinds = landed(runs.groupBy("digest").agg(F.min(spot).alias("first"), F.first("seed").alias("seed"), F.count("*").alias("n")), "kinds")
     later = F.struct("id", "spot") > F.struct("first.id", "first.spot")
     whole = (
-        runs.join(kinds, ["seed", "place", "digest"])
+        runs.drop("seed")
+        .join(kinds.filter("n > 1").select("digest", "first"), "digest")
         .filter(later)
         .select("id", "tag", _start(F.col("spot")).alias("start"), _many(F.col("spot")).alias("many"))
     )
     several = kinds.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1")
     mixed = landed(several.select("seed"), "mixed")
-    # The first run of each kind stands for all of them.
-    firsts = kinds.join(mixed, "seed", "left_semi").select("seed", "first.*")
-    own = landed(spelled(docs, firsts, id, text, length), "own")
-    nth = F.explode(F.sequence(F.lit(0), _many(F.col("spot")) - 1)).alias("nth")
-    window = F.array_join(F.slice(F.split("words", " "), F.col("nth") + 1, F.lit(length)), " ")
-    parts = own.select("*", nth).select(
-        "seed", "id", "tag", "spot",
-        (_place(F.col("spot")) - F.col("nth")).alias("place"),
-        F.unhex(F.substring(F.sha2(window, 256), 1, 2 * DIGEST)).alias("window"),
-        (_start(F.col("spot")) + F.col("nth")).alias("start"),
-    )
+    # The first run of each kind stands for all of them, under a number of its own.
+    firsts = kinds.select("seed", "first.*").join(mixed, "seed", "left_semi")
+    own = landed(spelled(docs, firsts, id, text, length).withColumn("kind", F.monotonically_increasing_id()), "own")
+    cut = own.select("kind", "id", "spot", F.split("words", " ").alias("words"))
+
+    def window(nth: Column) -> Column:
+        words = F.slice(F.col("words"), nth + 1, F.lit(length))
+        return F.struct((_start(F.col("spot")) + nth).alias("start"), F.xxhash64(words).alias("h"), F.xxhash64(F.lit(1), words).alias("g"))
+
+    windows = F.explode(F.transform(F.sequence(F.lit(0), _many(F.col("spot")) - 1), window)).alias("w")
+    parts = cut.select("kind", "id", windows).select("kind", "id", "w.*")
     earliest = landed(
-        parts.groupBy("seed", "place", "window")
-        .agg(F.count("*").alias("n"), F.min(F.struct("id", "start", "tag", "spot")).alias("first"))
+        parts.groupBy("h", "g")
+        .agg(F.count("*").alias("n"), F.min(F.struct("id", "start", "kind")).alias("first"))
         .filter("n > 1")
         .drop("n"),
         "windows",
     )
     met = (
-        parts.join(earliest, ["seed", "place", "window"])
+        parts.join(earliest, ["h", "g"])
         .filter(F.struct("id", "start") > F.struct("first.id", "first.start"))
-        .select("seed", "id", "tag", "spot", F.struct("first.id", "first.tag", "first.spot").alias("first"))
+        .select("kind", F.col("first.kind").alias("of"))
         .distinct()
     )
-    same = lambda a, b: _row_key(a, b) & (F.col(f"{a}.spot") == F.col(f"{b}.spot"))
-    seed = lambda a: F.col(f"{a}.seed") == F.col("m.seed")
-    both = (
-        met.alias("m")
-        .join(own.alias("a"), seed("a") & same("a", "m"))
-        .select("m.*", "a.words")
-        .alias("m")
-        .join(own.alias("b"), seed("b") & same("b", "m.first"))
-        .select("m.id", "m.tag", "m.spot", "m.words", F.struct(F.col("m.first.spot"), F.col("b.words")).alias("first"))
-    )
+    theirs = own.select(F.col("kind").alias("of"), F.struct("spot", "words").alias("first"))
+    both = met.join(own.select("kind", "id", "tag", "spot", "words"), "kind").join(theirs, "of")
     return whole.unionByName(extended(both, length)).distinct()
 
 
