@@ -307,7 +307,8 @@ def remove_repeats(
     Rows of one id are parts of one document that start together: a window in one of them repeats another's
     if it starts later. Repeated rows are judged alike and each give a row. An empty table gives no rows. Other columns are not read.
     """
-    ranges = covered_runs(docs, id, text, length)
+    # Landed, so that the shuffles behind them are gone when the texts are shuffled to meet them.
+    ranges = landed(covered_runs(docs, id, text, length), "ranges")
     lists = ranges.groupBy("id", "tag").agg(
         F.collect_list(F.col("start") * 128 + F.col("many")).alias("ranges")
     )
