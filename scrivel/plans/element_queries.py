@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrivel.operators.elements import CardLayout, cards, sections
+from scrivel.operators.elements import CardLayout, cards, flat_sections, sections
 from scrivel.plans.tables import CARDS_PER_PAGE, roster_pages, table
 from scrivel.sinks.tables import roster_csv_rows, roster_markdown
 
@@ -18,7 +18,7 @@ def _rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def menu_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "html")
-    return cards(sections(pages, MENU)).select(
+    return cards(flat_sections(pages, MENU)).select(
         "page_id", F.col("n").cast("bigint").alias("n"), "name", "note"
     )
 

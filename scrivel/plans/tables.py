@@ -18,9 +18,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def dealt(df: DataFrame) -> DataFrame:
-    """A table dealt out to as many tasks as the session's setting ``scrivel.deal`` says, for files of a single row group, which
+    """A table dealt out to as many tasks as the session's setting ``spark.scrivel.deal`` says, for files of a single row group, which
     cannot be split; without the setting, as on a cluster, the table as it is read."""
-    parts = df.sparkSession.conf.get("scrivel.deal", None)
+    parts = df.sparkSession.conf.get("spark.scrivel.deal", None)
     return df.repartition(int(parts)) if parts else df
 
 

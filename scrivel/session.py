@@ -40,7 +40,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
-        "scrivel.deal": str(shuffle_partitions),
+        "spark.scrivel.deal": str(shuffle_partitions),
     } | conf
     builder = SparkSession.builder.master(f"local[{cores}]").appName("scrivel")
     for key, value in settings.items():

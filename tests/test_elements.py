@@ -2,10 +2,12 @@ import csv
 import datetime
 import io
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from scrivel.operators.elements import CardLayout, cards, sections
+from scrivel.operators.elements import CardLayout, cards, flat_sections, sections
 from scrivel.sinks.tables import (
     roster_csv_rows,
     roster_json,
@@ -119,3 +121,33 @@ def test_exports(spark, tmp_path):
     got = json.loads(part.read_text(encoding="utf-8"))
     assert list(got) == ["season", "cohort", "count", "students", "scraped_at"]
     assert got["students"][0] == {"name": "甲乙", "note": "a,b <"}
+
+
+PARTS = [
+    "<ul>", "</ul>", "<UL class=x>", "<li>", "</li>", "<li class='a b'>", "<b>", "</b>", "<b class=\"n\">", "<i>", "</i>", "<br>", "<br/>",
+    "<div>", "</div>", "<div class=h>", "<p>", "</p>", "<h2>", "</h2>", "one", " two ", "&amp;", "&lt;x", "&copy", "\n", "<!-- <li> -->", "<!doctype html>",
+    "<script>var a = '<li>';</script>", "<style>b{}</style>", "<a href=\"x>y\" class='n'>", "</a>", "</zz>", "<img src=x>",
+]
+LAYOUTS = [
+    CardLayout(section=("ul", None), header=("div", "h"), season=("p", None), cohort=("h2", None), card=("li", None), name=("b", None), note=("i", None)),
+    CardLayout(section=("ul", "x"), header=("div", None), season=("p", None), cohort=("h2", None), card=("li", "b"), name=("b", "n"), note=("a", "n")),
+]
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_expressions_find_what_the_parser_finds(spark, layout):
+    """On generated pages: tags left open, closed in any order, hidden, void and with quoted brackets."""
+    rng = random.Random(11)
+    texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(1, 60))) for _ in range(1500)]
+    texts += ["".join(f"<li><b>{i}</b> <i>n{i}</i></li>" for i in range(300)).join(("<ul>", "</ul>")), PAGE, "", None]
+    pages = _pages(spark, *texts)
+    want, got = (sorted(map(str, find(pages, layout).collect())) for find in (sections, flat_sections))
+    assert got == want
+    assert len(want) > 100
+    plan = cards(flat_sections(pages, layout))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan
+
+
+def test_expressions_read_a_roster(spark):
+    pages = _pages(spark, PAGE)
+    assert flat_sections(pages).collect() == sections(pages).collect()
