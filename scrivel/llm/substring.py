@@ -17,7 +17,6 @@ execution may split, so a passage that a third of all documents hold has no task
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial, reduce
 from hashlib import sha256
 
 import numpy as np
@@ -31,9 +30,6 @@ from scrivel.llm.pieces import sliced
 
 SEED_WORDS = 5
 SLICE_BYTES = 2_000_000
-#: Parts of the anchors whose runs are shuffled one after another: most runs leave in the join with the repeated
-#: anchors, so less of them lies on disk at once.
-ROUNDS = 2
 #: Bytes of a digest of words.
 DIGEST = 16
 _BLANK = np.zeros(256, bool)
@@ -178,13 +174,11 @@ def repeated_runs(docs: DataFrame, id: str, text: str, length: int) -> DataFrame
             if found := runs.of([b" ".join(t.split()) for t in texts]):
                 yield pa.RecordBatch.from_arrays([pa.array(found["seed"])], ["seed"])
 
-    def spots(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
+    def spots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = Runs(length)
         for part, texts in _batched(batches):
             if not (found := runs.of([b" ".join(t.split()) for t in texts])):
                 continue
-            mine = np.flatnonzero(found["seed"] % ROUNDS == turn)
-            found = {name: values if name == "data" else values[mine] for name, values in found.items()}
             data, cuts = found["data"], zip(found["low"].tolist(), found["high"].tolist(), strict=True)
             digests = pa.array([sha256(data[a:b]).digest()[:DIGEST] for a, b in cuts], pa.binary())
             own = pa.array(found["text"])
@@ -196,12 +190,8 @@ def repeated_runs(docs: DataFrame, id: str, text: str, length: int) -> DataFrame
     counts = pairs.mapInArrow(seeds, "seed long").groupBy("seed").agg(F.count("*").alias("n"))
     repeated = landed(counts.filter("n > 1").select("seed"), "seeds")
 
-    def met(turn: int) -> DataFrame:
-        runs = pairs.mapInArrow(partial(spots, turn=turn), f"seed long, id {kind}, tag long, spot long, digest binary")
-        wanted = repeated.filter(F.pmod("seed", F.lit(ROUNDS)) == turn)
-        return landed(runs.join(wanted, "seed", "left_semi"), "runs")
-
-    return reduce(DataFrame.unionByName, [met(turn) for turn in range(ROUNDS)])
+    runs = pairs.mapInArrow(spots, f"seed long, id {kind}, tag long, spot long, digest binary")
+    return landed(runs.join(repeated, "seed", "left_semi"), "runs")
 
 
 def spelled(docs: DataFrame, runs: DataFrame, id: str, text: str, length: int) -> DataFrame:
