@@ -259,15 +259,15 @@ def covered_runs(docs: DataFrame, id: str, text: str, length: int) -> DataFrame:
     mixed = landed(several.select("seed"), "mixed")
     # The first run of each kind stands for all of them, under a number of its own.
     firsts = kinds.select("seed", "first.*").join(mixed, "seed", "left_semi")
-    own = landed(spelled(docs, firsts, id, text, length).withColumn("kind", F.monotonically_increasing_id()), "own")
-    cut = own.select("kind", "id", "spot", F.split("words", " ").alias("words"))
+    cut = spelled(docs, firsts, id, text, length).withColumn("split", F.split("words", " "))
 
     def window(nth: Column) -> Column:
-        words = F.slice(F.col("words"), nth + 1, F.lit(length))
+        words = F.slice(F.col("split"), nth + 1, F.lit(length))
         return F.struct((_start(F.col("spot")) + nth).alias("start"), F.xxhash64(words).alias("h"), F.xxhash64(F.lit(1), words).alias("g"))
 
-    windows = F.explode(F.transform(F.sequence(F.lit(0), _many(F.col("spot")) - 1), window)).alias("w")
-    parts = cut.select("kind", "id", windows).select("kind", "id", "w.*")
+    windows = F.transform(F.sequence(F.lit(0), _many(F.col("spot")) - 1), window).alias("windows")
+    own = landed(cut.select("id", "tag", "spot", "words", windows, F.monotonically_increasing_id().alias("kind")), "own")
+    parts = own.select("kind", "id", F.explode("windows").alias("w")).select("kind", "id", "w.*")
     earliest = landed(
         parts.groupBy("h", "g")
         .agg(F.count("*").alias("n"), F.min(F.struct("id", "start", "kind")).alias("first"))
