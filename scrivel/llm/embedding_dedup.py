@@ -1,10 +1,10 @@
 """Near-duplicate vectors by cross-polytope hashing.
 
 A vector is rotated at random by three rounds of sign flips and the fast Hadamard transform; the hash is the axis it then
-lies nearest to, with its sign. ``AXES`` such hashes name a bucket, and ``TABLES`` independent ones are kept. A vector also
-enters the ``PROBES`` buckets of each table that cost it the least, so near vectors meet even where their nearest
-axes differ. Vectors that meet are compared exactly, in double precision. Against brute force at a cosine of
-exactly 0.9 in 64 dimensions, the pairs that share a bucket are 0.995 of all, and more above.
+lies nearest to, with its sign. ``AXES`` such hashes name a bucket, and several independent ones are kept, more for longer vectors,
+whose hashes are finer. A vector also enters the ``PROBES`` buckets of each table that cost it the least, so near vectors meet even where their nearest
+axes differ. Vectors that meet are compared exactly, in double precision. Of pairs at a cosine of exactly 0.9 some 0.995 share a
+bucket, in simulations at 2 to 1,536 dimensions, and more above. An exact setting compares all with all, in blocks.
 
 Equal vectors are one class with a count. A bucket gives counts of links and a spanning forest, never its pairs; a
 pair that shares several buckets counts in the smallest. Buckets above ``chunk`` members are dealt out
@@ -13,6 +13,7 @@ as pairs of chunks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import product
 
@@ -25,12 +26,21 @@ from scrivel.llm.components import connected_components
 from scrivel.llm.landing import landed
 from scrivel.llm.simhash import chunked, in_groups, spanning
 
-TABLES, AXES, PROBES = 8, 3, 4
+AXES, PROBES = 3, 4
+#: Share of the pairs at a cosine of 0.9 that meet in one table at 64 dimensions, the power by which it falls with
+#: their number, and the share that is to be missed in all tables; the first two are measured.
+MEET, FALL, MISSED = 0.485, 0.25, 0.005
+#: Vectors of fewer dimensions are turned in this many: in two or three the rotations are few.
+FEWEST, TURNED_IN = 4, 32
 SEED = 20240229
 #: Buckets up to this size are compared pair by pair, many at once; larger ones as matrices.
 SMALL = 48
 #: Products that are held at once while a large bucket is compared.
 STRIPE = 4_000_000
+#: Cells of the tables that tell which rows share a smaller bucket.
+HELD = 32_000_000
+#: Cosines this near to the limit are taken again, one by one, so that rounding is the same in buckets of all sizes.
+NEAR_LIMIT = 1e-12
 
 
 def hadamard(v: np.ndarray) -> np.ndarray:
@@ -44,10 +54,21 @@ def hadamard(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt(d)
 
 
-def bucket_codes(v: np.ndarray, tables: int = TABLES, axes: int = AXES, probes: int = PROBES) -> np.ndarray:
+def turned_width(d: int) -> int:
+    return TURNED_IN if d < FEWEST else 1 << (d - 1).bit_length()
+
+
+def tables_for(d: int) -> int:
+    """Tables that miss ``MISSED`` of the pairs at a cosine of 0.9 at most."""
+    meet = min(MEET, MEET * (64 / turned_width(d)) ** FALL)
+    return math.ceil(math.log(MISSED) / math.log(1 - meet))
+
+
+def bucket_codes(v: np.ndarray, tables: int | None = None, axes: int = AXES, probes: int = PROBES) -> np.ndarray:
     """Buckets of unit vectors: a row of ``tables * probes`` longs each, smaller tables first."""
     n, d = v.shape
-    width = 1 << max(1, (d - 1).bit_length())
+    tables = tables or tables_for(d)
+    width = turned_width(d)
     padded = np.zeros((n, width))
     padded[:, :d] = v
     signs = np.random.default_rng([SEED, d]).choice([-1.0, 1.0], size=(tables, axes, 3, width))
@@ -93,16 +114,19 @@ def _plain(vector: Column, kind: str) -> Column:
 class _Bucket:
     """Links of the vectors of whole buckets: counts per vector and a forest."""
 
-    def __init__(self, least: float, tables: int):
-        self.least, self.tables = least, tables
+    def __init__(self, least: float, probes: int):
+        self.least, self.probes = least, probes
+
+    def near(self, v, i, j):
+        return np.einsum("ij,ij->i", v[i], v[j]) >= self.least
 
     def small(self, v, n, codes, bucket, i, j, links, edges):
         """Pairs i, j of row numbers."""
-        near = np.einsum("ij,ij->i", v[i], v[j]) >= self.least
+        near = self.near(v, i, j)
         i, j = i[near], j[near]
         if not len(i):
             return
-        a, b = (codes[k].reshape(len(k), self.tables, -1) for k in (i, j))
+        a, b = (codes[k].reshape(len(k), -1, self.probes) for k in (i, j))
         same = (a[:, :, :, None] == b[:, :, None, :]).any(axis=3)
         shared = np.where(same, a, np.iinfo(np.int64).max).min(axis=(1, 2))
         first = shared == bucket[i]
@@ -116,18 +140,23 @@ class _Bucket:
         rows = left if own else np.r_[left, right]
         before = codes[rows]
         before = np.where(before < bucket[rows[0]], before, -1)
-        names, counts = np.unique(before, return_counts=True)
-        names = names[(counts > 1) & (names >= 0)]
-        holds = np.zeros((len(rows), max(1, len(names))), np.float32)
-        if len(names):
-            at = np.minimum(np.searchsorted(names, before), len(names) - 1)
-            r, c = np.nonzero(names[at] == before)
-            holds[r, at[r, c]] = 1
-        x, y = (holds, holds) if own else (holds[: len(left)], holds[len(left) :])
-        stripe = max(1, min(1024, STRIPE // len(right)))
-        for s in range(0, len(left), stripe):
+        x, y = (before, before) if own else (before[: len(left)], before[len(left) :])
+        shared, counts = np.unique(before, return_counts=True)
+        shared = shared[counts > 1] if own else np.intersect1d(x, y)
+        shared = shared[shared >= 0]
+        s, stripe = 0, max(1, min(1024, STRIPE // len(right)))
+        while s < len(left):
             part = left[s : s + stripe]
-            near = (v[part] @ v[right].T >= self.least) & (x[s : s + stripe] @ y.T == 0)
+            names = np.intersect1d(x[s : s + stripe], shared)
+            if len(names) * (len(part) + len(right)) > HELD and stripe > 1:
+                stripe //= 2
+                continue
+            product = v[part] @ v[right].T
+            near = product >= self.least
+            r, c = np.nonzero(np.abs(product - self.least) < NEAR_LIMIT)
+            near[r, c] = self.near(v, part[r], right[c])
+            if len(names):
+                near &= self._holds(x[s : s + stripe], names) @ self._holds(y, names).T == 0
             if own:
                 near[np.arange(len(part)), s + np.arange(len(part))] = False
             links[part] += near @ n[right]
@@ -140,15 +169,34 @@ class _Bucket:
                 a = np.where(opens, part[r], right[np.r_[0, c[:-1]]])
                 code = np.unique(a * np.int64(len(v)) + right[c])
                 edges.append((code // len(v), code % len(v)))
+            s += len(part)
+
+    def _holds(self, before, names):
+        """Which of the buckets ``names`` each row is in."""
+        holds = np.zeros((len(before), len(names)), np.float32)
+        at = np.minimum(np.searchsorted(names, before), len(names) - 1)
+        r, c = np.nonzero(names[at] == before)
+        holds[r, at[r, c]] = 1
+        return holds
+
+
+def _rectangle(codes: np.ndarray, probes: int) -> np.ndarray:
+    """Codes of vectors of several lengths, so of several numbers of tables; the last table stands for those that are missing."""
+    most = max(map(len, codes))
+    return np.stack([np.r_[c, np.tile(c[-probes:], (most - len(c)) // probes)] for c in codes])
 
 
 def near_vectors(
     vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", least: float = 0.9, chunk: int = 1024,
-    tables: int = TABLES, axes: int = AXES, probes: int = PROBES,
+    tables: int | None = None, axes: int = AXES, probes: int = PROBES, exact: bool = False,
 ) -> DataFrame:
     """Rows ``id, n_links, component_id``: how many other rows have a cosine of ``least`` or more, and the smallest id
     reachable over such links. No pair below ``least`` is linked.
 
+    The number of tables follows from the vectors' length unless it is given, for limits of 0.9 and above; lower ones need more.
+    With ``exact`` all vectors of a length are one bucket, whose blocks are compared with each other: every
+    link is found, at a cost that grows with the square of the number of different vectors.
+
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, vectors of different
     lengths not with each other. Equal rows and repeated ids are rows of their own and link. A null id never names
     a component that has another. An empty table gives no rows. Other columns are not read.
@@ -172,7 +220,7 @@ def near_vectors(
                 if not fine.any():
                     continue
                 raw, at = raw[fine], at[fine]
-                codes = bucket_codes(v[fine], tables, axes, probes)
+                codes = np.zeros((len(at), 1), np.int64) if exact else bucket_codes(v[fine], tables, axes, probes)
                 yield pa.RecordBatch.from_arrays([
                     *(batch.column(c).take(pa.array(at)) for c in ("class", "n", "lowest")),
                     pa.array([r.tobytes() for r in raw], pa.binary()),
@@ -193,13 +241,13 @@ def near_vectors(
     cell = np.dtype("<f4" if kind == "float" else "<f8")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = _Bucket(least, tables)
+        work = _Bucket(least, 1 if exact else probes)
         for table in in_groups(batches, "block", 1 << 13):
             table = table.combine_chunks()
             names, n, block, side, bucket = (
                 table.column(c).to_numpy() for c in ("class", "n", "block", "side", "bucket")
             )
-            codes = np.stack(table.column("codes").to_numpy())
+            codes = _rectangle(table.column("codes").to_numpy(), work.probes)
             links = np.zeros(len(names), np.int64)
             edges: list[tuple[np.ndarray, np.ndarray]] = []
             cut = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
