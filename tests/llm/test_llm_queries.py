@@ -1,14 +1,21 @@
 """The registered queries and the pipeline, against SQL and against what the tables say."""
 
+import base64
+import hashlib
 import json
 import os
+import re
 import zlib
 from pathlib import Path
 
 import duckdb
 import numpy as np
 import pandas as pd
+import public_tokenizers
 import pytest
+import tiktoken
+import xxhash
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from scrivel.llm import queries
@@ -16,6 +23,8 @@ from scrivel.llm.queries import QUERIES
 
 SF_DIR = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))
 
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="no test data")
 
 
@@ -56,6 +65,70 @@ def test_query_has_a_row_for_each_document(spark, documents, name):
     assert sorted(got["doc_id"]) == sorted(documents["doc_id"])
 
 
+def _rows(spark, name):
+    return QUERIES[name][0](spark, str(SF_DIR)).toPandas().set_index("doc_id").sort_index()
+
+
+def _texts(documents):
+    return documents.set_index("doc_id").sort_index()["text"].fillna("")
+
+
+def _sha256(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_token_files_hold_the_ids_of_the_library(spark, documents):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    got, start = _rows(spark, "op1_token_files"), 0
+    for name, text in _texts(documents).items():
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        assert tuple(got.loc[name, ["start", "n_tokens", "ids_crc32"]]) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
+def test_fingerprints_bit_by_bit(spark, documents):
+    got = _rows(spark, "op3_simhash")
+    marks = {}
+    for name, text in _texts(documents).items():
+        words = re.findall(r"[^\x20\x09-\x0D]+", text.translate(LOWER))
+        shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+        hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+        marks[name] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    assert got["fingerprint"].to_dict() == {name: f"{mark:016x}" for name, mark in marks.items()}
+    component = {name: name for name in marks}
+    for _ in marks:  # the smallest name spreads over links
+        spread = {a: min(component[b] for b in marks if (marks[a] ^ marks[b]).bit_count() <= 3) for a in marks}
+        if spread == component:
+            break
+        component = spread
+    assert got["component_id"].to_dict() == component
+
+
+def test_ids_and_texts_of_byte_pairs(spark, documents):
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")) as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(str.split, file)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    got = _rows(spark, "op9_byte_bpe")
+    for name, text in _texts(documents).items():
+        ids = library.encode_ordinary(text)
+        assert tuple(got.loc[name]) == (len(ids), _sha256(",".join(map(str, ids))), _sha256(text))
+
+
+def test_base_spans_of_secrets(spark, documents):
+    assign = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    got = _rows(spark, "op10_secret_scan")
+    for name, text in _texts(documents).items():
+        found = [("assign", m.start(), m.end()) for m in re.finditer(assign, text, re.A) if len(m[2]) >= 12]
+        found += [("access", m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+        found += [("hex", m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+        kinds = ["assign", "access", "hex"]
+        found.sort(key=lambda s: (s[1], kinds.index(s[0])))
+        assert tuple(got.loc[name, ["n_assign", "n_access", "n_hex"]]) == tuple(sum(s[0] == k for s in found) for k in kinds)
+        line = [":".join(map(str, s)) for s in found]
+        assert got.loc[name, "base_sha256"] == _sha256(",".join(line))
+        assert set(line) <= set(filter(None, got.loc[name, "spans"].split(",")))
+
+
 def test_mixing_deals_its_blocks_to_shards(spark, monkeypatch):
     tables, landed = {}, queries.landed
     monkeypatch.setattr(queries, "landed", lambda df, name: tables.setdefault(name, landed(df, name)))
