@@ -5,6 +5,7 @@ and length as payload. A scan emits the payload of every word in order. A checks
 follows from theirs and the second one's length, so the buckets of word runs are composed from
 neighbouring payloads and no run is ever spelled out.
 
+Texts are scanned once. The buckets of their runs are landed, two bytes each, to be counted and, once the counts are known, weighed.
 Buckets are a parameter, not data: counts per bucket are the only thing that comes to the driver and goes back to the tasks.
 """
 
@@ -134,27 +135,61 @@ class Features:
         return buckets, np.concatenate(owners), np.bincount(owner, minlength=len(texts))
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    for batch in batches:
-        column = batch.column("text")
-        sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_pylist()
-        for begin, end in sliced(sizes, SLICE_BYTES):
-            part = batch.slice(begin, end - begin)
-            yield part, [t or b"" for t in part.column("text").to_pylist()]
+    def laid(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The buckets text after text, where each text's begin and the last one's end, and the number of words of each."""
+        bucket, owner, n_words = self.of(texts)
+        ends = np.cumsum(np.bincount(owner, minlength=len(texts)))
+        return bucket[np.argsort(owner, kind="stable")], np.r_[0, ends], n_words
 
 
-def bucket_counts(texts: DataFrame, text: str, most: int, buckets: int) -> np.ndarray:
-    """How many word runs of the whole table fall into each bucket; tasks count, and their counts are added."""
+def _code(buckets: int) -> np.dtype:
+    return np.dtype("<u2" if buckets <= 1 << 16 else "<u4")
+
+
+def run_buckets(texts: DataFrame, id: str | None, text: str, most: int, buckets: int) -> DataFrame:
+    """Rows ``id, tag, n_words, codes``: the buckets of a text's word runs, end to end. Without ``id`` that is null."""
+    content = F.col(f"`{text}`")
+    name = F.lit(None).cast("long") if id is None else F.col(f"`{id}`")
+    given = texts.select(name.alias("id"), F.xxhash64(content).alias("tag"), content.cast("binary").alias("text"))
+    code = _code(buckets)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features(most, buckets)
+        for batch in batches:
+            sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_pylist()
+            for begin, end in sliced(sizes, SLICE_BYTES):
+                part = batch.slice(begin, end - begin)
+                laid, cuts, n_words = features.laid([t or b"" for t in part.column("text").to_pylist()])
+                offsets = pa.py_buffer((cuts * code.itemsize).astype(np.int32))
+                codes = pa.Array.from_buffers(pa.binary(), len(part), [None, offsets, pa.py_buffer(laid.astype(code).tobytes())])
+                columns = [part.column("id"), part.column("tag"), pa.array(n_words), codes]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "tag", "n_words", "codes"])
+
+    fields = ("id", given.schema["id"].dataType), ("tag", T.LongType()), ("n_words", T.LongType()), ("codes", T.BinaryType())
+    return given.mapInArrow(run, T.StructType([T.StructField(*f) for f in fields]))
+
+
+def _held(codes: pa.Array, code: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """All codes of a batch end to end, and where each row's begin and the last one's end."""
+    _, offsets, data = codes.buffers()
+    cuts = np.frombuffer(offsets, np.int32, len(codes) + 1, 4 * codes.offset).astype(np.int64) // code.itemsize
+    laid = np.frombuffer(data, code, int(cuts[-1])) if data else np.zeros(0, code)
+    return laid[cuts[0] :], cuts - cuts[0]
+
+
+def bucket_counts(rows: DataFrame, buckets: int) -> np.ndarray:
+    """How many word runs of all rows of :func:`run_buckets` fall into each bucket; tasks count, and their counts are added."""
+    code = _code(buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, counts = Features(most, buckets), np.zeros(buckets, np.int64)
-        for _, slice in _texts(batches):
-            counts += np.bincount(features.of(slice)[0], minlength=buckets)
+        counts = np.zeros(buckets, np.int64)
+        for batch in batches:
+            counts += np.bincount(_held(batch.column("codes"), code)[0], minlength=buckets)
         held = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(counts[held])], ["bucket", "n"])
 
-    counted = texts.select(F.col(f"`{text}`").cast("binary").alias("text")).mapInArrow(run, "bucket long, n long")
     total = np.zeros(buckets, np.int64)
+    counted = rows.select("codes").mapInArrow(run, "bucket long, n long")
     for bucket, n in counted.groupBy("bucket").agg(F.sum("n")).collect():  # a row for each bucket at most
         total[bucket] = n
     return total
@@ -171,27 +206,23 @@ def bucket_gains(source: np.ndarray, target: np.ndarray) -> np.ndarray:
     return np.array(gains, np.int64)
 
 
-def importance_weights(docs: DataFrame, gains: np.ndarray, id: str, text: str, most: int) -> DataFrame:
+def importance_weights(rows: DataFrame, gains: np.ndarray) -> DataFrame:
     """Rows ``id, tag, n_words, n_features, weight``: the mean gain of a text's runs, rounded down, and 0 without any."""
-    kind = docs.schema[id].dataType
-    fields = ("id", kind), ("tag", T.LongType()), *((c, T.LongType()) for c in ("n_words", "n_features", "weight"))
+    code = _code(len(gains))
+    names = ("n_words", "n_features", "weight")
+    fields = ("id", rows.schema["id"].dataType), ("tag", T.LongType()), *((c, T.LongType()) for c in names)
     schema = T.StructType([T.StructField(*f) for f in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features(most, len(gains))
-        for part, slice in _texts(batches):
-            buckets, owner, n_words = features.of(slice)
-            n = np.bincount(owner, minlength=len(slice))
-            total = np.zeros(len(slice), np.int64)
-            np.add.at(total, owner, gains[buckets])
-            weight = total // np.maximum(n, 1)
-            columns = [part.column("id"), part.column("tag"), *map(pa.array, (n_words, n, weight))]
+        for batch in batches:
+            laid, cuts = _held(batch.column("codes"), code)
+            so_far = np.r_[0, np.cumsum(gains[laid])]
+            n = np.diff(cuts)
+            weight = (so_far[cuts[1:]] - so_far[cuts[:-1]]) // np.maximum(n, 1)
+            columns = [batch.column("id"), batch.column("tag"), batch.column("n_words"), pa.array(n), pa.array(weight)]
             yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
 
-    pairs = docs.select(
-        F.col(f"`{id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("tag"), F.col(f"`{text}`").cast("binary").alias("text")
-    )
-    return pairs.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def _noise(id: F.Column, seed: int) -> F.Column:
@@ -218,9 +249,9 @@ def importance_resample(
     Scores are whole numbers whose noise puts less than 0.04 % of all ids on one of them, so ranks
     inside a score are counted apart; rows alike in id and text are counted before and written out after.
     """
-    source = bucket_counts(docs, text, most, buckets)
-    gains = bucket_gains(source, bucket_counts(target, target_text, most, buckets))
-    weighed = importance_weights(docs, gains, id, text, most)
+    found = landed(run_buckets(docs, id, text, most, buckets), "buckets")
+    wanted = bucket_counts(run_buckets(target, None, target_text, most, buckets), buckets)
+    weighed = importance_weights(found, bucket_gains(bucket_counts(found, buckets), wanted))
     rows = weighed.groupBy(*weighed.columns).agg(F.count("*").alias("copies"))
     scored = landed(rows.withColumn("score", F.col("weight") + _noise(F.col("id"), seed)), "scores")
     fit = scored.filter(F.col("n_words") >= least_words)
