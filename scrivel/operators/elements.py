@@ -174,6 +174,7 @@ _STATE = {
     "open": f"array<{_OPEN_CARD}>", "done": f"array<{_DONE_CARD}>", "n": "int",
 }
 
+
 def _tokens(html: Column, layout: CardLayout) -> Column:
     """Tags with their names and the parts of the layout that they begin, and texts; of a page with a single section only what stands before
     its end."""
