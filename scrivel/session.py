@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,13 +18,18 @@ def ship_by_value() -> None:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder that all executors see: below ``spark.checkpoint.dir``, or a temporary one on a single machine without it."""
+    """A new folder that all executors see: below ``spark.checkpoint.dir``, or a temporary one on a single machine without it.
+
+    That setting names a shared folder, so it comes back with the scheme of its file system, also where the setting has none.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="scrivel-")
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    root = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return f"{re.sub('^file:/+', 'file:///', root)}/{name}-{uuid.uuid4().hex}"
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
