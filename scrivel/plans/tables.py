@@ -24,6 +24,13 @@ def dealt(df: DataFrame) -> DataFrame:
     return df.repartition(int(parts)) if parts else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows from which far more is printed than they hold, dealt out to as many tasks as a shuffle of the session has, or as
+    ``spark.scrivel.deal`` says. Their own size would have them read, or joined, by a few tasks only."""
+    conf = df.sparkSession.conf
+    return df.repartition(int(conf.get("spark.scrivel.deal", None) or conf.get("spark.sql.shuffle.partitions")))
+
+
 def printed(c: Column) -> Column:
     """Amount with thousands separators and two decimals."""
     return F.format_number(c, 2)
@@ -66,7 +73,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                               "o_totalprice", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
-    joined = dealt(o).join(c, F.col("o_custkey") == F.col("c_custkey"))
+    joined = spread(o.join(c, F.col("o_custkey") == F.col("c_custkey")))
     sign = F.when(F.col("o_orderstatus") == "F", "-").otherwise("+")
     day = F.col("o_orderdate")
     forms = ("yyyy-MM-dd", "yyyy年M月d日", "yyyy/M/d", "yy-MM-dd")
