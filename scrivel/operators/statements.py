@@ -6,6 +6,9 @@ any row fits it, is found from five of them at most, and every row then meets it
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +41,9 @@ POSITION = ("page", "table_no", "row_no")
 def clean_cells(rows: DataFrame) -> DataFrame:
     """Strip all cells, read null as '', and drop rows without any text."""
     cells = F.transform("cells", lambda c: F.coalesce(strip(c), F.lit("")))
-    return rows.withColumn("cells", cells).filter(F.exists("cells", lambda c: c != ""))
+    # A filter would be pushed below the strip and strip once more.
+    filled = F.explode(F.filter(F.array(cells), lambda row: F.exists(row, lambda c: c != "")))
+    return rows.select(*(filled.alias(c) if c == "cells" else F.col(f"`{c}`") for c in rows.columns))
 
 
 def header_map(cells: Column) -> Column:
@@ -48,9 +53,10 @@ def header_map(cells: Column) -> Column:
     """
 
     def last_hit(words: tuple[str, ...]) -> Column:
-        hits = F.transform(cells, lambda c: F.rlike(c, F.lit("|".join(words))))
-        from_end = F.array_position(F.reverse(hits), F.lit(True))
-        return F.when(from_end > 0, (F.size(cells) - from_end).cast("int"))
+        # A word that holds another one of its column fits only where that one does.
+        short = [w for w in words if not any(v != w and v in w for v in words)]
+        fits = lambda c: reduce(or_, (F.contains(c, F.lit(w)) for w in short))
+        return F.array_max(F.transform(cells, lambda c, i: F.when(fits(c), i)))
 
     return F.struct(*(last_hit(words).alias(key) for key, words in HEADER_WORDS.items()))
 
@@ -207,9 +213,11 @@ def statement_ledger(
     split = kept.select(
         "doc_id", *position, "cells", "header", F.posexplode(lines).alias("nth", "line")
     ).withColumn("raw", strip(F.col("line")))
-    found = split.filter(F.col("cells").isNotNull() | (F.col("raw") != ""))
     amounts = find_amounts(F.col("raw")) if amount_form is None else find_amounts(F.col("raw"), amount_form)
-    dated = found.withColumns({"date": find_date(F.col("raw")), "amounts": amounts}).filter(
+    # Lines without text are dropped by an array without any: a filter would be pushed below the strip and both searches, and do them again.
+    read = F.struct("raw", find_date(F.col("raw")).alias("date"), amounts.alias("amounts"))
+    read = F.inline(F.when(is_table | (F.col("raw") != ""), F.array(read)))
+    dated = split.select("doc_id", *position, "cells", "header", "nth", read).filter(
         is_table | F.col("date").isNotNull() | (F.size("amounts") > 0)
     )
     table, text = _table_columns(), _text_columns()

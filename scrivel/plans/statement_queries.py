@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrivel.functions.amounts import find_amounts, find_date, parse_date
+from scrivel.llm.landing import landed
 from scrivel.operators import statements
 from scrivel.plans.tables import dealt, payments, statement_pages, statement_rows, table
 from scrivel.sinks.tables import entry_table, ledger_table
@@ -86,12 +87,15 @@ def ledger_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same entries with a key of their own each, named after the payment's priority; columns are those found."""
+    """The same entries with a key of their own each, named after the payment's priority; columns are those found.
+
+    Finding them takes a job of its own, so the entries are written and read back instead of being parsed twice.
+    """
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("page"), "o_orderpriority", "o_orderstatus")
     ledger = statements.statement_ledger(*_printed(spark, sf_dir)).drop("table_no", "row_no", "line_no")
     extras = F.when(F.col("page") % 3 > 0, F.create_map("o_orderpriority", "o_orderstatus")).alias("extras")
     entries = ledger.join(orders, "page").select(*ledger.columns, extras)
-    return entry_table(entries, ("doc_id", "page"), ("doc_id", "page"))
+    return entry_table(landed(entries, "ledger"), ("doc_id", "page"), ("doc_id", "page"))
 
 
 # --- the same results in SQL ---

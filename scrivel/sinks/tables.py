@@ -41,12 +41,21 @@ def ledger_table(ledger: DataFrame, *keys: str) -> DataFrame:
 def found_names(entries: DataFrame, order: tuple[str, ...], columns: list[str], extras: str, most: int) -> list[str]:
     """Columns with a value and keys of ``extras``, in the order in which the entries, in ``order``, show them first.
 
-    Tasks keep one place for each name; a table of more than ``most`` names is refused.
+    Tasks keep one place for each kind of entry, told by its columns and a key of its map; a table of more than ``most`` names is refused.
     """
-    given = F.array_compact(F.array(*(F.when(F.col(f"`{c}`").isNotNull(), F.lit(c)) for c in columns)))
-    keys = F.concat(given, F.coalesce(F.map_keys(F.col(f"`{extras}`")), F.array().cast("array<string>")))
-    seen = entries.select(*(F.col(f"`{c}`") for c in order), F.posexplode(keys).alias("__at", "__name"))
-    places = seen.groupBy("__name").agg(F.min(F.struct(*order, "__at")).alias("__place"))
+    order_of = [F.col(f"`{c}`") for c in order]
+    given = [F.col(f"`{c}`").isNotNull().cast("int").alias(f"__given{i}") for i, c in enumerate(columns)]
+    # One row for each key of the map, or one without a key: the columns of an entry stand beside it as marks, not in rows of their own.
+    keys = F.posexplode_outer(F.map_keys(F.col(f"`{extras}`"))).alias("__nth", "__key")
+    marks = [f"__given{i}" for i in range(len(columns))]
+    marked = entries.select(F.struct(*order_of).alias("__first"), *given, keys)
+    kinds = marked.groupBy(*marks, "__nth", "__key").agg(F.min("__first").alias("__first"))
+    before = [sum((F.col(m) for m in marks[:i]), F.lit(0)) for i in range(len(columns) + 1)]
+    name = lambda shown, name, at: F.struct(F.when(shown, name).alias("__name"), at.alias("__at"))
+    shown = [name(F.col(m) > 0, F.lit(c), before[i]) for i, (m, c) in enumerate(zip(marks, columns, strict=True))]
+    shown.append(name(F.col("__key").isNotNull(), F.col("__key"), before[-1] + F.col("__nth")))
+    seen = kinds.select("__first", F.inline(F.array(*shown))).filter(F.col("__name").isNotNull())
+    places = seen.groupBy("__name").agg(F.min(F.struct("__first", "__at")).alias("__place"))
     names = [r["__name"] for r in places.orderBy("__place").limit(most + 1).collect()]
     if len(names) > most:
         raise ValueError(f"more than {most} columns")

@@ -1,4 +1,5 @@
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from scrivel.functions.amounts import find_amounts, find_date, parse_date, residual_text
 from scrivel.operators import statements as S
 from scrivel.operators.skew import running, skew_join
+from scrivel.plans.statement_queries import ledger_union
 from scrivel.sinks.tables import entry_table, ledger_table
 
 ROWS = "doc_id long, page int, table_no int, row_no int, cells array<string>"
@@ -138,6 +140,25 @@ def test_columns_are_those_that_entries_have(spark):
         assert got == {i: tuple(p.get(c, "") for c in table.columns[1:]) for i, p in enumerate(plain)}
 
 
+def test_entries_are_parsed_once(spark, tmp_path):
+    """The job that finds the columns and the table read the entries where they were written, not the payments once more."""
+    paid = [(k, k % 5 + 1, "FOP"[k % 3], 10.5 * k + 1000, datetime(1995, 2, k), ["1-URGENT", "5-LOW"][k % 2]) for k in range(1, 21)]
+    orders = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+    customers = [(k, f"Customer#{k}", 7.25 * k, "AUTOMOBILE") for k in range(1, 7)]
+    spark.createDataFrame(paid, orders).write.parquet(f"{tmp_path}/orders.parquet")
+    schema = "c_custkey long, c_name string, c_acctbal double, c_mktsegment string"
+    spark.createDataFrame(customers, schema).write.parquet(f"{tmp_path}/customer.parquet")
+    table = ledger_union(spark, str(tmp_path))
+    assert not [f for f in table.inputFiles() if "orders.parquet" in f or "customer.parquet" in f]
+    got = {r["page"]: r for r in table.collect()}
+    assert sorted(got) == [k for k, *_ in paid]
+    assert table.columns[:6] == ["doc_id", "page", "日期", "方向", "金额", "对方"]
+    for key, customer, status, price, day, priority in paid:
+        row, sign = got[key], "-" if status == "F" else "+"
+        assert (row["doc_id"], row["日期"], row["金额"]) == (customer, f"{day:%Y-%m-%d}", f"{sign}{price:,.2f}".replace(",", ""))
+        assert {p: row[p] for p in ("1-URGENT", "5-LOW")} == {p: status if p == priority and key % 3 else "" for p in ("1-URGENT", "5-LOW")}
+
+
 def test_entries_without_keys_and_names_of_key_columns(spark):
     none = spark.createDataFrame([], "at long, extras map<string,string>")
     assert entry_table(none, ("at",), ("at",)).columns == ["at"]
