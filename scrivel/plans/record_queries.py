@@ -14,7 +14,10 @@ from scrivel.operators import records
 from scrivel.plans.tables import SALT, dealt, stories, table
 from scrivel.session import shared_folder
 from scrivel.sinks.records import write_record_files
-from scrivel.sources.files import image_manifest, read_json_documents
+from scrivel.sources.files import image_manifest, read_json_documents, read_text_files
+
+# Folders that record files are dealt out to: some thousand files in each where there are millions.
+FOLDERS = 1024
 
 
 def _scrubbed(name: str, key: str, column: str, step):
@@ -76,11 +79,10 @@ def record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").cast("string").alias("stem"),
         F.to_json(F.struct("source", "source_url", "collected_at", "record")).alias("json"),
     )
-    write_record_files(landed, raw, ".json", "json")
-    write_record_files(records.with_markdown(records.clean_records(read_json_documents(spark, raw), SALT)), clean)
-    files = spark.read.text(clean, wholetext=True, pathGlobFilter="*.md")
-    stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.md$", 1)
-    return files.select(stem.alias("stem"), F.col("value").alias("markdown"))
+    write_record_files(landed, raw, ".json", "json", FOLDERS)
+    documents = read_json_documents(spark, raw, folders=FOLDERS)
+    write_record_files(records.with_markdown(records.clean_records(documents, SALT)), clean, folders=FOLDERS)
+    return read_text_files(spark, clean, ".md", FOLDERS).select("stem", F.col("value").alias("markdown"))
 
 
 def _cleaned(name: str, key: str, column: str):

@@ -2,36 +2,26 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-
-def shared_uri(spark: SparkSession, folder: str) -> str:
-    """The folder as an address on the file system that Spark takes for it.
-
-    A path without a scheme belongs to the default file system. On a cluster a folder on one machine's disk is
-    refused: every executor would write to its own.
-    """
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    if full.startswith("file:") and not folder.startswith("file:") and not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"{folder} is a folder of one machine; name a shared one, with its scheme")
-    return re.sub("^file:/+", "file:///", full)
+from scrivel.session import shared_uri
+from scrivel.sources.files import folder_of
 
 
 def write_record_files(
-    rendered: DataFrame, folder: str, suffix: str = ".md", column: str = "markdown"
+    rendered: DataFrame, folder: str, suffix: str = ".md", column: str = "markdown", folders: int | None = None
 ) -> None:
     """One ``{stem}.md`` per record, written by the tasks themselves.
 
     ``folder`` is a path or an address; see :func:`shared_uri`. A file appears under its name
     only when complete, so repeated and speculative tasks do no harm. Records without a stem have no name and
     are left out, a null text is an empty file. Fit for exports that
-    people open; for large numbers of records use :func:`write_record_table`.
+    people open; for large numbers of records use :func:`write_record_table`, or deal the files out to so many ``folders`` below the
+    folder, which tasks can list and read side by side (:func:`scrivel.sources.files.read_dealt_files`).
     """
     uri = shared_uri(rendered.sparkSession, folder)
 
@@ -40,11 +30,16 @@ def write_record_files(
 
         files, root = fs.FileSystem.from_uri(uri)
         files.create_dir(root, recursive=True)
+        made = {root}
         for row in rows:
-            part = f"{root}/.{row.stem}.{uuid.uuid4().hex}"
+            at = root if folders is None else f"{root}/{folder_of(row.stem, folders)}"
+            if at not in made:
+                files.create_dir(at, recursive=True)
+                made.add(at)
+            part = f"{at}/.{row.stem}.{uuid.uuid4().hex}"
             with files.open_output_stream(part) as out:
                 out.write((row.text or "").encode())
-            files.move(part, f"{root}/{row.stem}{suffix}")
+            files.move(part, f"{at}/{row.stem}{suffix}")
 
     named = rendered.select("stem", F.col(column).alias("text")).filter("stem IS NOT NULL")
     named.foreachPartition(write)
